@@ -1,0 +1,100 @@
+"""A table directory with an atomic pointer to its current files.
+
+Writers put new files beside the old ones and then publish a small JSON entry by
+rename; readers use the newest entry. A writer that dies before the rename leaves
+files nobody refers to, and a batch that is replayed finds itself in the entry.
+Where the catalog's table format has row-level operations, use those instead.
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+from dataclasses import dataclass, field
+
+from pyspark.sql import SparkSession
+
+_DIGITS = 20
+
+
+@dataclass(frozen=True)
+class Version:
+    """``paths`` maps a part of the table to its folder, ``applied`` a source to its last batch."""
+
+    number: int = 0
+    paths: dict[str, str] = field(default_factory=dict)
+    applied: dict[str, int] = field(default_factory=dict)
+
+
+class VersionLog:
+    def __init__(self, spark: SparkSession, root: str) -> None:
+        self.root = root.rstrip("/")
+        self._jvm = spark._jvm
+        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self._fs = self._path(self.root).getFileSystem(self._conf)
+
+    def _path(self, text: str):
+        return self._jvm.org.apache.hadoop.fs.Path(text)
+
+    def _entry(self, number: int) -> str:
+        return f"{self.root}/log/{number:0{_DIGITS}d}.json"
+
+    def folders(self, path: str) -> list[str]:
+        """Names of the folders right below ``path``."""
+        where = self._path(path)
+        if not self._fs.exists(where):
+            return []
+        return [s.getPath().getName() for s in self._fs.listStatus(where) if s.isDirectory()]
+
+    def numbers(self) -> list[int]:
+        where = self._path(f"{self.root}/log")
+        if not self._fs.exists(where):
+            return []
+        names = [s.getPath().getName() for s in self._fs.listStatus(where)]
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+
+    def exists(self) -> bool:
+        return bool(self.numbers())
+
+    def read(self, number: int) -> Version:
+        stream = self._fs.open(self._path(self._entry(number)))
+        try:
+            text = self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return Version(**json.loads(text))
+
+    def latest(self) -> Version:
+        numbers = self.numbers()
+        return self.read(numbers[-1]) if numbers else Version()
+
+    def commit(self, version: Version) -> None:
+        """Publish the entry; fails if another writer published that number first."""
+        final = self._path(self._entry(version.number))
+        draft = self._path(f"{self.root}/log/.{uuid.uuid4().hex}.tmp")
+        out = self._fs.create(draft, False)
+        try:
+            out.write(bytearray(json.dumps(version.__dict__).encode()))
+        finally:
+            out.close()
+        if self._fs.exists(final) or not self._fs.rename(draft, final):
+            self._fs.delete(draft, False)
+            raise RuntimeError(f"version {version.number} of {self.root} was published by another writer")
+
+    def drop(self) -> None:
+        self._fs.delete(self._path(self.root), True)
+
+    def vacuum(self, keep: int = 2) -> int:
+        """Delete entries older than the last ``keep`` and data folders none of the kept ones uses.
+
+        Run it when no writer and no reader of an older version is active.
+        """
+        numbers = self.numbers()
+        kept, old = numbers[-keep:], numbers[:-keep]
+        used = {path.split("/")[0] for n in kept for path in self.read(n).paths.values()}
+        stale = [f for f in self.folders(f"{self.root}/data") if f not in used]
+        for number in old:
+            self._fs.delete(self._path(self._entry(number)), False)
+        for folder in stale:
+            self._fs.delete(self._path(f"{self.root}/data/{folder}"), True)
+        return len(stale)
