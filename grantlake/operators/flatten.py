@@ -12,7 +12,6 @@ plus ``_route`` (operation to apply), ``_step`` and ``_seq`` (arrival order) and
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -190,49 +189,30 @@ def _routing_columns(entity: ent.Entity) -> tuple[str, ...]:
 class _Children:
     """How one event becomes several rows.
 
-    ``fields`` are the input fields holding the lists, ``build`` returns an array of
-    (label, child JSON), ``columns`` maps output columns to child fields, ``scalar``
-    is the column of children that are plain values, and ``base_row`` adds the event
-    itself as a row beside its children.
+    ``lists`` are the paths of the nested lists with the label their rows get,
+    ``columns`` maps output columns to fields of the list's objects, ``scalar`` is the
+    column of lists of plain values, ``needs`` a field without which a child is
+    skipped, and ``base_row`` adds the event itself as a row beside its children.
     """
 
-    fields: dict[str, str]
-    build: Callable[[Column], Column]
+    lists: dict[str, str | None]
     columns: dict[str, str]
     base_row: bool = False
     label: str | None = None
     scalar: str | None = None
+    needs: str | None = None
 
 
-def _labelled(array: Column, label: str | None) -> Column:
-    items = F.coalesce(array, F.array().cast("array<string>"))
+def _labelled(array: Column, label: str | None, element: str = "string") -> Column:
+    """The list as (label, child) pairs; a missing list is empty."""
+    items = F.coalesce(array, F.array().cast(f"array<{element}>"))
     return F.transform(items, lambda item: F.struct(F.lit(label).cast("string").alias("label"), item.alias("child")))
 
 
-def _plain(field: str) -> Callable[[Column], Column]:
-    return lambda event: _labelled(event[field], None)
-
-
-def _both(field: str | None, only_with: str | None = None) -> Callable[[Column], Column]:
-    def build(event: Column) -> Column:
-        def side(name: str) -> Column:
-            array = event[name][field] if field else event[name]
-            if only_with:
-                array = F.filter(array, lambda m: F.array_contains(F.json_object_keys(m), only_with))
-            return _labelled(array, name)
-
-        return F.concat(side("add"), side("remove"))
-
-    return build
-
-
 _CHILDREN = {
-    "ROLE": _Children(
-        {"accessBundleIds": "array<string>"}, _plain("accessBundleIds"), {}, scalar="access_bundle_id"
-    ),
+    "ROLE": _Children({"accessBundleIds": None}, {}, scalar="access_bundle_id"),
     "CLOUD_GROUP": _Children(
-        {"add.identities": "array<string>", "remove.identities": "array<string>"},
-        _both("identities"),
+        {"add.identities": "add", "remove.identities": "remove"},
         {
             "identity_global_id": "id",
             "identity_target_identity_id": "targetIdentityId",
@@ -241,25 +221,20 @@ _CHILDREN = {
         label="identity_operation_type",
     ),
     "CLOUD_POLICY": _Children(
-        {"subjects": "array<string>"},
-        _plain("subjects"),
-        {"subject_id": "id", "subject_name": "name", "subject_type": "type"},
+        {"subjects": None}, {"subject_id": "id", "subject_name": "name", "subject_type": "type"}
     ),
     "POLICY_STATEMENT_RESOURCE_MAPPING": _Children(
-        {"resources": "array<string>"},
-        _plain("resources"),
-        {"resource_id": "id", "resource_external_id": "externalId"},
+        {"resources": None}, {"resource_id": "id", "resource_external_id": "externalId"}
     ),
     "GLOBAL_IDENTITY_COLLECTION": _Children(
-        {"add.members": "array<string>", "remove.members": "array<string>"},
-        _both("members", only_with="globalIdentityId"),
+        {"add.members": "add", "remove.members": "remove"},
         {"member_global_id": "globalIdentityId", "membership_type": "membershipType"},
         base_row=True,
         label="member_operation_type",
+        needs="globalIdentityId",
     ),
     "POLICY": _Children(
-        {"policyRules": "array<string>"},
-        _plain("policyRules"),
+        {"policyRules": None},
         {
             "policy_rule_id": "id",
             "policy_rule_version": "policyRuleVersion",
@@ -285,7 +260,11 @@ _CHILDREN = {
 
 
 def _explode(
-    df: DataFrame, children: Column | None = None, base_row: bool = False, usable: Column = F.lit(True)
+    df: DataFrame,
+    children: Column | None = None,
+    element: str = "string",
+    base_row: bool = False,
+    usable: Column | None = None,
 ) -> DataFrame:
     """One row per child, and exactly one for an event without any; broken or unusable events yield none.
 
@@ -293,13 +272,13 @@ def _explode(
     on the parsed event, because Spark would push that filter below the projection
     and parse every event twice.
     """
-    none = F.lit(None).cast("string")
-    base = F.array(F.struct(none.alias("label"), none.alias("child")))
+    none = F.struct(F.lit(None).cast("string").alias("label"), F.lit(None).cast(element).alias("child"))
+    base = F.array(none)
     if children is None:
         rows = base
     else:
         rows = F.concat(base, children) if base_row else F.when(F.size(children) > 0, children).otherwise(base)
-    whole = F.when(_whole() & usable, rows)
+    whole = F.when(_whole() if usable is None else _whole() & usable, rows)
     return (
         df.select("*", F.posexplode_outer(whole).alias("_child_pos", "_child"))
         .filter(F.col("_child").isNotNull())
@@ -379,10 +358,15 @@ def _flatten_generic(events: DataFrame, entity: ent.Entity) -> DataFrame:
             continue
         own[column.name] = paths.get(column.name, camel_case(column.name))
         fields.add(own[column.name], _leaf(column, keys))
-    for path, leaf in (children.fields if children else {}).items():
-        fields.add(path, leaf)
-    extra = _EXTRA_FIELDS.get(entity.name, {})
-    for path, leaf in extra.items():
+    element = "string"
+    if child_columns:
+        child_fields = _Fields()
+        for name, path in child_columns.items():
+            child_fields.add(path, _leaf(entity.column(name), keys))
+        element = f"struct<{child_fields.ddl()}>"
+    for path in children.lists if children else ():
+        fields.add(path, f"array<{element}>")
+    for path, leaf in _EXTRA_FIELDS.get(entity.name, {}).items():
         fields.add(path, leaf)
 
     df = _parse(events, fields.ddl())
@@ -393,13 +377,14 @@ def _flatten_generic(events: DataFrame, entity: ent.Entity) -> DataFrame:
     if not children:
         df = _explode(df)
     else:
-        df = _explode(df, children.build(F.col("e")), children.base_row)
-        if child_columns:
-            child_fields = _Fields()
-            for name, path in child_columns.items():
-                child_fields.add(path, _leaf(entity.column(name), keys))
-            df = df.withColumn("c", F.from_json("_item", child_fields.ddl()))
-        child_sources = {name: F.col("c." + path) for name, path in child_columns.items()}
+        lists = []
+        for path, label in children.lists.items():
+            items = F.col("e." + path)
+            if children.needs:
+                items = F.filter(items, lambda child: child[children.needs].isNotNull())
+            lists.append(_labelled(items, label, element))
+        df = _explode(df, F.concat(*lists) if len(lists) > 1 else lists[0], element, children.base_row)
+        child_sources = {name: F.col("_item." + path) for name, path in child_columns.items()}
         sources.update(child_sources)
         values.update({n: _value(entity.column(n), f, keys) for n, f in child_sources.items()})
         if children.label:
@@ -486,34 +471,37 @@ _ADJUST = {
 }
 
 
+_TARGET = "struct<externalId: string, id: variant, targetId: string, identity: variant>"
+
+
 def _flatten_identity(events: DataFrame, entity: ent.Entity) -> DataFrame:
     """One row per target identity, or one for the identity itself; events without the root are dropped."""
-    top = _parse(events, "globalIdentity struct<id: variant, identity: variant, targetIdentities: array<string>>")
-    top = top.withColumns({"g": F.col("e.globalIdentity"), "_identity_json": F.to_json("e.globalIdentity.identity")})
-    identity_ddl = """agStatus string, agSubType string, displayName string, location string, status string,
-        userName string, name struct<familyName: string, givenName: string>, agRisk map<string, variant>"""
-    df = top.withColumn("i", F.from_json("_identity_json", identity_ddl))
+    parsed = _parse(
+        events, f"globalIdentity struct<id: variant, identity: variant, targetIdentities: array<{_TARGET}>>"
+    )
+    top = parsed.withColumns(
+        {"g": F.col("e.globalIdentity"), "_identity_json": F.to_json("e.globalIdentity.identity")}
+    )
+    identity = F.col("g.identity")
+
+    def part(path: str, kind: str = "string", of: Column = identity) -> Column:
+        return F.try_variant_get(of, f"$.{path}", kind)
+
     # A risk without a value makes the event unusable.
-    usable = F.col("g").isNotNull() & (F.col("i.agRisk").isNull() | F.map_contains_key("i.agRisk", "value"))
-    df = _explode(df, _labelled(F.col("g.targetIdentities"), None), usable=usable).withColumn(
-        "t",
-        F.from_json(
-            "_item",
-            "externalId string, id variant, targetId string, identity variant",
-        ),
+    usable = F.col("g").isNotNull() & (
+        part("agRisk", "variant").isNull() | part("agRisk.value", "variant").isNotNull()
     )
+    df = _explode(top, _labelled(F.col("g.targetIdentities"), None, _TARGET), _TARGET, usable=usable)
     has_target = F.col("_item").isNotNull()
-    has_targets_key = F.col("g.targetIdentities").isNotNull()
-    risk = F.col("i.agRisk")["value"]
-    target_account = F.coalesce(_variant_text(F.col("t.id")).startswith("targetId.account"), F.lit(False))
+    target_account = F.coalesce(_variant_text(F.col("_item.id")).startswith("targetId.account"), F.lit(False))
     global_id = _key_text(F.col("g.id"))
-    sources = {"risk": _variant_text(risk)}
+    sources = {"risk": part("agRisk.value")}
     values = {
         **_header_values(),
         "id": global_id,
         "identity_type": _text(_second_part(global_id)),
         **{
-            column: _text(F.col("i." + path))
+            column: _text(part(path))
             for column, path in (
                 ("ag_status", "agStatus"),
                 ("ag_sub_type", "agSubType"),
@@ -526,18 +514,18 @@ def _flatten_identity(events: DataFrame, entity: ent.Entity) -> DataFrame:
             )
         },
         "risk": _number(sources["risk"], ent.NUMBER),
-        "ag_risk_attributes": _json_text(F.col("i.agRisk")["customAttributes"]),
+        "ag_risk_attributes": _json_text(part("agRisk.customAttributes", "variant")),
         "identity_attributes": F.when(target_account, F.lit("{}")).otherwise(
             F.coalesce(F.col("_identity_json"), F.lit("{}"))
         ),
-        "ti_operation_type": F.when(has_targets_key, F.col("operation_type")).otherwise(""),
+        "ti_operation_type": F.when(F.col("g.targetIdentities").isNotNull(), F.col("operation_type")).otherwise(""),
         "ti_event_timestamp": F.when(has_target, F.col("event_timestamp")),
-        "ti_external_id": _text(F.col("t.externalId")),
-        "ti_id": _key_text(F.col("t.id")),
-        "ti_target_id": _text(F.col("t.targetId")),
-        "ti_attributes": _json_text(F.col("t.identity")),
-        "ti_identity_status": _text(F.try_variant_get(F.col("t.identity"), "$.status", "string")),
-        "ti_identity_name": _text(F.to_json(F.try_variant_get(F.col("t.identity"), "$.name", "variant"))),
+        "ti_external_id": _text(F.col("_item.externalId")),
+        "ti_id": F.when(has_target, _key_text(F.col("_item.id"))).otherwise(""),
+        "ti_target_id": _text(F.col("_item.targetId")),
+        "ti_attributes": _json_text(F.col("_item.identity")),
+        "ti_identity_status": _text(part("status", of=F.col("_item.identity"))),
+        "ti_identity_name": _text(F.to_json(part("name", "variant", of=F.col("_item.identity")))),
     }
     return _assemble(df, entity, values, sources)
 
