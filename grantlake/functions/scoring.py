@@ -7,8 +7,6 @@ so a table of statements is scored in a single pass without a shuffle.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,8 +28,18 @@ REASON_BROAD = "Broad or negative match in conditions"
 REASON_RESTRICTIVE = "Restrictive conditions present"
 REASON_UNKNOWN_ACTION = "Nonstandard action phrase (outside braces)"
 
-# The condition texts that count as broad.
-BROAD_CONDITIONS = ("!=", " any {", " regex", "*", "request.principal.type")
+# The condition texts that count as broad, as one pattern.
+BROAD_CONDITIONS = r"!=| any \{| regex|\*|request\.principal\.type"
+
+# Subject classes in the order they are tried, with the pattern that tells them.
+SUBJECT_TYPES = (
+    ("any-user", "^any-user| any-user"),
+    ("any-group", "^any-group| any-group"),
+    ("group", """^['"]?group| group """),
+    ("dynamic-group", "^dynamic-group| dynamic-group "),
+    ("service", "^service"),
+    ("resource-principal", "^resource"),
+)
 
 # The advice texts. %s is the name of the platform whose policy reference applies.
 ADVICE_SUBJECT = (
@@ -46,38 +54,28 @@ ADVICE_UNKNOWN = "Verify action against %s policy reference; use standard verbs
 ADVICE_DEFAULT = "Review for least privilege and proper scoping"
 
 
-def _contains_any(text: Column, tokens: tuple[str, ...]) -> Column:
-    return reduce(lambda a, b: a | b, [text.contains(t) for t in tokens])
-
-
 def normalized(statement: Column) -> Column:
     """White space collapsed to single blanks; NULL reads as empty."""
     return F.trim(F.regexp_replace(F.coalesce(statement, F.lit("")), _SPACE, " "))
 
 
+# The text is normalised before it is taken apart, so no part has blanks at its ends.
+
+
 def _before(text: Column, pattern: str) -> Column:
-    return F.trim(F.get(F.split(text, pattern, 2), F.lit(0)))
+    return F.get(F.split(text, pattern, 2), F.lit(0))
 
 
 def _after(text: Column, pattern: str) -> Column:
-    return F.coalesce(F.trim(F.get(F.split(text, pattern, 2), F.lit(1))), F.lit(""))
-
-
-def subject_type(subject: Column) -> Column:
-    """First class whose test holds, in this order."""
-    s = F.lower(F.trim(subject))
-    return (
-        F.when(s.startswith("any-user") | s.contains(" any-user"), "any-user")
-        .when(s.startswith("any-group") | s.contains(" any-group"), "any-group")
-        .when(
-            s.startswith("group") | s.startswith("'group") | s.startswith('"group') | s.contains(" group "),
-            "group",
-        )
-        .when(s.startswith("dynamic-group") | s.contains(" dynamic-group "), "dynamic-group")
-        .when(s.startswith("service"), "service")
-        .when(s.startswith("resource"), "resource-principal")
-        .otherwise("unknown")
-    )
+    return F.coalesce(F.get(F.split(text, pattern, 2), F.lit(1)), F.lit(""))
+
+
+def subject_type(lowered: Column) -> Column:
+    """First class whose pattern is found in the lower-case subject."""
+    classes = F.when(F.lit(False), "")
+    for name, pattern in SUBJECT_TYPES:
+        classes = classes.when(lowered.rlike(pattern), name)
+    return classes.otherwise("unknown")
 
 
 def decompose(df: DataFrame, statement: str = "statement") -> DataFrame:
@@ -86,12 +84,12 @@ def decompose(df: DataFrame, statement: str = "statement") -> DataFrame:
     heads = norm.withColumns(
         {
             "relation": F.lower(F.regexp_extract("_norm", _STATEMENT, 1)),
-            "subject": F.trim(F.regexp_extract("_norm", _STATEMENT, 2)),
-            "_tail": F.trim(F.regexp_extract("_norm", _STATEMENT, 3)),
+            "subject": F.regexp_extract("_norm", _STATEMENT, 2),
+            "_tail": F.regexp_extract("_norm", _STATEMENT, 3),
         }
     ).withColumn("parsed", F.col("relation") != "")
     split = heads.withColumns(
-        {"_action": _before(F.col("_tail"), r"(?iu)\s+in\s+"), "_rest": _after(F.col("_tail"), r"(?iu)\s+in\s+")}
+        {"_subject": F.lower("subject"), "_action": _before(F.col("_tail"), r"(?iu)\s+in\s+"), "_rest": _after(F.col("_tail"), r"(?iu)\s+in\s+")}
     )
     braces = F.col("_action").startswith("{")
     inside = F.regexp_extract("_action", r"^\{([^}]*)", 1)
@@ -99,7 +97,7 @@ def decompose(df: DataFrame, statement: str = "statement") -> DataFrame:
     verb = F.lower(F.regexp_extract("_action", _VERB, 1))
     return split.withColumns(
         {
-            "subject_type": subject_type(F.col("subject")),
+            "subject_type": subject_type(F.col("_subject")),
             "cross_tenancy": F.col("subject").rlike(r"(?iuU)\bof\s+(any-)?tenancy\b"),
             "actions_in_braces": F.when(braces, F.array_join(names, ";")).otherwise(""),
             "verb": F.when(~F.col("parsed"), "")
@@ -107,18 +105,18 @@ def decompose(df: DataFrame, statement: str = "statement") -> DataFrame:
             .when(verb != "", verb)
             .otherwise("unknown"),
             "resource": F.when(braces, "")
-            .when(verb != "", F.trim(F.regexp_extract("_action", _VERB, 2)))
+            .when(verb != "", F.regexp_extract("_action", _VERB, 2))
             .otherwise(F.col("_action")),
             "scope": _before(F.col("_rest"), r"(?iu)\s+where\s+"),
             "conditions": _after(F.col("_rest"), r"(?iu)\s+where\s+"),
         }
-    ).drop("_norm", "_tail", "_action", "_rest")
+    ).drop("_norm", "_tail", "_action", "_rest", "_subject")
 
 
 def _scored(df: DataFrame) -> DataFrame:
-    resource, subject = F.lower("resource"), F.lower("subject")
-    breadth = F.when(resource.contains("all-resources"), 2).when(resource.contains("-family"), 1).otherwise(0)
-    scope = F.when(F.lower("scope").rlike(r"(?U)\btenancy\b"), 2).otherwise(0)
+    resource, subject = F.col("resource"), F.lower("subject")
+    breadth = F.when(resource.rlike("(?iu)all-resources"), 2).when(resource.rlike("(?iu)-family"), 1).otherwise(0)
+    scope = F.when(F.col("scope").rlike(r"(?iuU)\btenancy\b"), 2).otherwise(0)
     action = F.when(F.col("verb") == "use", 2).when(F.col("verb") == "manage", 3).otherwise(0)
     facts = df.withColumns(
         {
@@ -128,7 +126,7 @@ def _scored(df: DataFrame) -> DataFrame:
             "_any": F.col("subject_type").isin("any-user", "any-group"),
             "_any_tenancy": subject.contains("any-tenancy"),
             "_org": F.col("relation").isin("admit", "endorse"),
-            "_broad": _contains_any(F.lower("conditions"), BROAD_CONDITIONS),
+            "_broad": F.lower("conditions").rlike(BROAD_CONDITIONS),
         }
     )
     # Subject, then relation, then conditions: each step starts from the score before it.

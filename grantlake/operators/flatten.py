@@ -131,7 +131,8 @@ def _text(value: Column) -> Column:
 
 
 def _number(value: Column, kind: str) -> Column:
-    whole = F.coalesce(value.try_cast("bigint"), value.try_cast("decimal(38,6)").try_cast("bigint"))
+    # By way of a decimal, so that 5.0 reads as 5.
+    whole = value.try_cast("decimal(38,6)").try_cast("bigint")
     return whole.try_cast("int") if kind == ent.INTEGER else whole
 
 

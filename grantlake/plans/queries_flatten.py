@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grantlake.operators.flatten import flatten
-from grantlake.plans.registry import feed, json_of, plain_time, query, table, text
+from grantlake.plans.registry import feed, json_of, plain_time, query, spread_table, text
 
 _TIME = plain_time("event_timestamp").alias("event_timestamp")
 
@@ -32,7 +32,7 @@ def _object(**fields: Column | str) -> Column:
 )
 def flatten_role(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ-15, PRJ-0: a row per bundle; a role without bundles keeps one row."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread_table(spark, sf_dir, "lineitem")
     bundles = F.when(F.col("l_returnflag") == "N", F.array().cast("array<string>")).otherwise(
         F.array(text("l_partkey"), text("l_suppkey"))
     )
@@ -61,7 +61,7 @@ def flatten_role(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def flatten_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ-12: a row per policy rule."""
-    orders = table(spark, sf_dir, "orders")
+    orders = spread_table(spark, sf_dir, "orders")
 
     def rule(mark: str) -> Column:
         return _object(
@@ -94,7 +94,7 @@ def flatten_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def flatten_resource_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ-13: a row per mapped resource."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread_table(spark, sf_dir, "lineitem")
 
     def resource(mark: str, key: str) -> Column:
         return _object(id=F.concat(F.lit(mark), text(key)), externalId=F.concat(F.lit("x"), text(key)))
@@ -127,7 +127,7 @@ def flatten_resource_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def flatten_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ-4: the collection's own row, then a row per member that has an id."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread_table(spark, sf_dir, "lineitem")
 
     def member(key: str) -> Column:
         known = _object(globalIdentityId=F.concat(F.lit("m"), text(key)), membershipType=F.lit("DIRECT"))
@@ -159,7 +159,7 @@ def flatten_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def flatten_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ-2: added and removed identities, one base row if there are none."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread_table(spark, sf_dir, "lineitem")
 
     def identities(key: str) -> Column:
         return _object(
@@ -193,7 +193,7 @@ def flatten_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def flatten_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ-1: a row per target identity, else one; events without the root object yield none."""
-    customers = table(spark, sf_dir, "customer").withColumn("_at", F.expr("timestamp_ntz'2020-01-01 00:00:00'"))
+    customers = spread_table(spark, sf_dir, "customer").withColumn("_at", F.expr("timestamp_ntz'2020-01-01 00:00:00'"))
 
     def target(kind: str) -> Column:
         return _object(
@@ -247,7 +247,7 @@ def flatten_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def flatten_assignment_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ-9, PRJ-11: lists to add and remove, ids to delete; rows without an id are skipped."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread_table(spark, sf_dir, "lineitem")
     deleting = F.col("l_returnflag") == "R"
 
     def assignment(key: str, **more: Column) -> Column:
@@ -296,7 +296,7 @@ def flatten_assignment_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def flatten_assignment_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ-10: an assignment or a list of them; zero times count as missing."""
-    orders = table(spark, sf_dir, "orders")
+    orders = spread_table(spark, sf_dir, "orders")
 
     def assignment(mark: str) -> Column:
         return _object(
@@ -343,7 +343,7 @@ def flatten_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
         isAccountProfileExists=F.col("p_size") > 25,
         ownerShipCollectionId=F.concat(F.lit("oc"), text("p_size")),
     )
-    parts = table(spark, sf_dir, "part").withColumn("_at", F.expr("timestamp_ntz'2020-01-01 00:00:00'"))
+    parts = spread_table(spark, sf_dir, "part").withColumn("_at", F.expr("timestamp_ntz'2020-01-01 00:00:00'"))
     return flatten(feed(parts, "ACCESS_BUNDLE", raw, "_at", "p_partkey"), "ACCESS_BUNDLE").select(
         "id",
         "name",
@@ -370,7 +370,7 @@ def flatten_permission(spark: SparkSession, sf_dir: str) -> DataFrame:
         userDefinedTags=_object(brand="p_brand"),
         owner=_object(displayName="p_brand"),
     )
-    parts = table(spark, sf_dir, "part").withColumn("_at", F.expr("timestamp_ntz'2020-01-01 00:00:00'"))
+    parts = spread_table(spark, sf_dir, "part").withColumn("_at", F.expr("timestamp_ntz'2020-01-01 00:00:00'"))
     return flatten(feed(parts, "PERMISSION", raw, "_at", "p_partkey"), "PERMISSION").select(
         "id", "name", "permission_type_id", "user_defined_tags", "owner_display_name", "attributes"
     )
@@ -389,7 +389,7 @@ def flatten_resource(spark: SparkSession, sf_dir: str) -> DataFrame:
         resourceType="p_type",
         tenancyId=F.when(F.col("p_size") > 25, F.concat(F.lit("tenant"), text("p_size"))),
     )
-    parts = table(spark, sf_dir, "part").withColumn("_at", F.expr("timestamp_ntz'2020-01-01 00:00:00'"))
+    parts = spread_table(spark, sf_dir, "part").withColumn("_at", F.expr("timestamp_ntz'2020-01-01 00:00:00'"))
     return flatten(feed(parts, "RESOURCE", raw, "_at", "p_partkey"), "RESOURCE").select(
         "id", "resource_name", "resource_type", "tenancy_id"
     )
@@ -412,7 +412,7 @@ def flatten_guardrail(spark: SparkSession, sf_dir: str) -> DataFrame:
         rules=F.array(_object(id=text("s_suppkey"))),
         updatedByRef=_object(displayName="s_name"),
     )
-    suppliers = table(spark, sf_dir, "supplier").withColumn("_at", F.expr("timestamp_ntz'2020-01-01 00:00:00'"))
+    suppliers = spread_table(spark, sf_dir, "supplier").withColumn("_at", F.expr("timestamp_ntz'2020-01-01 00:00:00'"))
     return flatten(feed(suppliers, "ACCESS_GUARDRAIL", raw, "_at", "s_suppkey"), "ACCESS_GUARDRAIL").select(
         "id",
         "name",
@@ -437,7 +437,7 @@ def flatten_workflow(spark: SparkSession, sf_dir: str) -> DataFrame:
         status="o_orderstatus",
         updatedOn=F.unix_millis(F.col("o_orderdate").cast("timestamp")),
     )
-    orders = table(spark, sf_dir, "orders")
+    orders = spread_table(spark, sf_dir, "orders")
     return flatten(feed(orders, "APPROVAL_WORKFLOW", raw, "o_orderdate", "o_orderkey"), "APPROVAL_WORKFLOW").select(
         "id", "name", "version", "status", "updated_on"
     )
@@ -458,7 +458,7 @@ def flatten_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
         timeCreated=F.unix_millis(F.col("o_orderdate").cast("timestamp")),
     )
     decoded = feed(
-        table(spark, sf_dir, "orders"),
+        spread_table(spark, sf_dir, "orders"),
         "OWNERSHIP_COLLECTION",
         raw,
         "o_orderdate",
@@ -476,7 +476,7 @@ def flatten_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
 def flatten_system(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ-17."""
     raw = json_of(id=text("s_suppkey"), name="s_name", timeCreated="s_nationkey", timeUpdated="s_suppkey")
-    suppliers = table(spark, sf_dir, "supplier").withColumn("_at", F.expr("timestamp_ntz'2020-01-01 00:00:00'"))
+    suppliers = spread_table(spark, sf_dir, "supplier").withColumn("_at", F.expr("timestamp_ntz'2020-01-01 00:00:00'"))
     return flatten(feed(suppliers, "ORCHESTRATED_SYSTEM", raw, "_at", "s_suppkey"), "ORCHESTRATED_SYSTEM").select(
         "id", "name", "created_on", "updated_on", "tenancy_id"
     )
@@ -493,7 +493,7 @@ def flatten_system(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def flatten_cloud_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ-3, SCO-4: subjects exploded, score merged into the attributes."""
-    orders = table(spark, sf_dir, "orders")
+    orders = spread_table(spark, sf_dir, "orders")
     place = F.concat(F.lit("loc"), text(F.col("o_custkey") % 9))
     statement = F.when(F.col("o_custkey") % 2 == 0, "allow group g to manage key-family in tenancy").otherwise(
         "Allow  group g to manage buckets in compartment c"
@@ -540,7 +540,7 @@ _SENSITIVE = "turn % 3 = 0"
 )
 def audit_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ-18, MSK-1: audit events from conversations; values beside a sensitive selection are masked at any depth."""
-    turns = table(spark, sf_dir, "conversations").withColumn("_at", F.expr("timestamp_ntz'2020-01-01 00:00:00'"))
+    turns = spread_table(spark, sf_dir, "conversations").withColumn("_at", F.expr("timestamp_ntz'2020-01-01 00:00:00'"))
     inner = _object(
         selection=F.when(F.col("turn") % 2 == 0, "Client SECRET").otherwise("title"), value="role"
     )

@@ -9,7 +9,7 @@ from grantlake.entities import ENTITIES
 from grantlake.functions.scoring import remediation, score
 from grantlake.operators.flatten import flatten
 from grantlake.operators.state import apply_changes
-from grantlake.plans.registry import feed, json_of, plain_time, query, table, text
+from grantlake.plans.registry import feed, json_of, plain_time, query, spread_table, text
 
 # One statement per order, put together from its columns; readable by both engines.
 STATEMENT_SQL = """
@@ -94,7 +94,7 @@ _SCORED_SQL = f"""
 
 
 def _statements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select("o_orderkey", F.expr(STATEMENT_SQL).alias("statement"))
+    return spread_table(spark, sf_dir, "orders").select("o_orderkey", F.expr(STATEMENT_SQL).alias("statement"))
 
 
 @query(
@@ -173,7 +173,7 @@ def score_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 def policy_state_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: raw policy events flattened, scored, and applied in daily groups to the current state."""
     entity = ENTITIES["CLOUD_POLICY"]
-    orders = table(spark, sf_dir, "orders").withColumn(
+    orders = spread_table(spark, sf_dir, "orders").withColumn(
         "_group", F.datediff("o_orderdate", F.lit("1990-01-01").cast("date")).cast("long")
     )
     deleting = F.col("o_orderstatus") == "F"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from grantlake.plans.registry import OPERATION_SQL, json_of, plain_time, query, table, text
+from grantlake.plans.registry import OPERATION_SQL, json_of, plain_time, query, spread_table, table, text
 from grantlake.session import scratch_path
 from grantlake.sources import files as src_files
 from grantlake.sources.headers import (
@@ -125,7 +125,7 @@ def feed_envelope_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .otherwise(F.to_json(F.struct(header.alias("headers"), F.to_json(item("text")).alias("data"))))
     )
-    whole_files = table(spark, sf_dir, "orders").select(
+    whole_files = spread_table(spark, sf_dir, "orders").select(
         value.alias("value"),
         F.concat(F.lit("file:/feed/"), text("o_orderkey"), F.lit(".json")).alias("_file"),
         F.col("o_orderdate").cast("timestamp").alias("_modified"),
@@ -172,7 +172,7 @@ def message_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     message = F.to_json(F.struct(header.alias("headers"), listed.alias("data")))
     once = F.base64(message.cast("binary"))
     twice = F.base64(once.cast("binary"))
-    events = table(spark, sf_dir, "events")
+    events = spread_table(spark, sf_dir, "events")
     return events.select("event_id", F.when(F.col("event_id") % 2 == 0, F.rtrim(twice, F.lit("="))).otherwise(twice).alias("value"))
 
 

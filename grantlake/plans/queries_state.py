@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from grantlake.entities import ENTITIES, SCOPE, DeleteRoute
 from grantlake.operators.flatten import flatten
 from grantlake.operators.state import apply_changes, apply_deletes, merge_latest, newest_per_key, routed
-from grantlake.plans.registry import OPERATION_SQL, feed, json_of, plain_time, query, table, text
+from grantlake.plans.registry import OPERATION_SQL, feed, json_of, plain_time, query, spread_table, table, text
 from grantlake.sources.messages import group_order
 
 _EVENT = ["event_id", "ts", "user_id", "event_type", "value", "props"]
@@ -201,7 +201,7 @@ def group_order_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def resource_changes(spark: SparkSession, sf_dir: str, daily: bool) -> DataFrame:
     """The events table as a feed of resources, one group per day or per operation."""
-    events = _events(spark, sf_dir).withColumn("_operation", F.expr(OPERATION_SQL))
+    events = spread_table(spark, sf_dir, "events").withColumn("_operation", F.expr(OPERATION_SQL))
     if daily:
         events = events.withColumn("_group", F.datediff("ts", F.lit("2024-01-01").cast("date")).cast("long"))
     else:
@@ -283,7 +283,7 @@ def state_stream_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 def membership_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     """MEM-1: stored members, then removes, then adds; every collection keeps its own row."""
     entity = ENTITIES["GLOBAL_IDENTITY_COLLECTION"]
-    lines = table(spark, sf_dir, "lineitem").withColumn("_at", F.timestamp_seconds(F.lit(0)).cast("timestamp_ntz"))
+    lines = spread_table(spark, sf_dir, "lineitem").withColumn("_at", F.timestamp_seconds(F.lit(0)).cast("timestamp_ntz"))
 
     def members(side: str, when) -> DataFrame:
         member = F.struct(F.struct(F.array(F.struct(text("l_partkey").alias("globalIdentityId"))).alias("members")).alias("m"))
@@ -313,7 +313,7 @@ def membership_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
 def assignment_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as assignment changes, one group per day; errors revoke, all else grants."""
     entity = ENTITIES["PERMISSION_ASSIGNMENT"]
-    events = _events(spark, sf_dir).withColumns(
+    events = spread_table(spark, sf_dir, "events").withColumns(
         {
             "_group": F.datediff("ts", F.lit("2024-01-01").cast("date")).cast("long"),
             # Deletes claim a time a day either side of their own, so some spare the stored row.
@@ -398,7 +398,7 @@ def assignment_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
 def assignment_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DEL-5: revocations by identity, and by identity and permission, newer rows kept."""
     entity = ENTITIES["PERMISSION_ASSIGNMENT"]
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread_table(spark, sf_dir, "lineitem")
     key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
     def rows(df: DataFrame, route: str, step: int, ts: str, **values) -> DataFrame:
@@ -414,7 +414,7 @@ def assignment_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     # Each line is held by its order and by its supplier; both are identities here.
     held = rows(lines, "CREATE", 0, "l_shipdate", assignment_id=key, target_identity_id=F.concat(F.lit("o"), text("l_orderkey")))
-    orders = table(spark, sf_dir, "orders")
+    orders = spread_table(spark, sf_dir, "orders")
     whole = rows(
         orders.filter("o_orderstatus = 'F'"),
         "DELETE",

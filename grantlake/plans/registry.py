@@ -36,6 +36,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_SPREAD_LIMIT = 64
+
+
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table about to go through costly row work, spread if its scan has fewer tasks than cores.
+
+    A scan that already gives enough tasks, as any large table does, is left alone.
+    """
+    df = table(spark, sf_dir, name)
+    wanted = min(spark.sparkContext.defaultParallelism, _SPREAD_LIMIT)
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
+
+
 def plain_time(column: str | Column) -> Column:
     """A UTC instant as a timestamp without zone, as the tables hold it."""
     return (F.col(column) if isinstance(column, str) else column).cast("timestamp_ntz")
