@@ -157,7 +157,7 @@ def file_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src_files.with_file_ids(orders).select("o_orderkey", "batch_id", "snapshot_id")
 
 
-def message_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+def message_frame(spark: SparkSession, sf_dir: str, only: str = "true") -> DataFrame:
     """Events as stream messages: JSON text in an envelope in two layers of base64, some unpadded."""
     header = F.struct(
         F.lit("RESOURCE").alias("messageType"),
@@ -172,7 +172,7 @@ def message_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     message = F.to_json(F.struct(header.alias("headers"), listed.alias("data")))
     once = F.base64(message.cast("binary"))
     twice = F.base64(once.cast("binary"))
-    events = spread_table(spark, sf_dir, "events")
+    events = spread_table(spark, sf_dir, "events").filter(only)
     return events.select("event_id", F.when(F.col("event_id") % 2 == 0, F.rtrim(twice, F.lit("="))).otherwise(twice).alias("value"))
 
 
