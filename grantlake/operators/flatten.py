@@ -288,7 +288,9 @@ def _explode(
 
 
 def _whole() -> Column:
-    return is_object(F.col("_text")) & F.col("e._corrupt").isNull()
+    # A field of an unexpected type also marks the record; only text that is no JSON is broken.
+    readable = F.when(F.col("e._corrupt").isNull(), True).otherwise(F.try_parse_json("_text").isNotNull())
+    return is_object(F.col("_text")) & readable
 
 
 # -- assembly ----------------------------------------------------------------------
@@ -300,12 +302,10 @@ def _parse(events: DataFrame, ddl: str, source: str = "raw") -> DataFrame:
     return events.withColumns({"_text": F.col(source), "e": parsed})
 
 
-def malformed(events: DataFrame) -> DataFrame:
-    """The events the projections leave out because their text is not a JSON object."""
+def is_malformed(raw: str = "raw") -> Column:
+    """Whether the event is left out of the projections because its text is not a JSON object."""
     # try_parse_json turns broken text into NULL.
-    return events.filter(
-        ~F.coalesce(F.schema_of_variant(F.try_parse_json("raw")).startswith("OBJECT"), F.lit(False))
-    )
+    return ~F.coalesce(F.schema_of_variant(F.try_parse_json(raw)).startswith("OBJECT"), F.lit(False))
 
 
 def _header_values(tenancy: Column | None = None) -> dict[str, Column]:

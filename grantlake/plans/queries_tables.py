@@ -286,8 +286,9 @@ def state_table_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _message_files(spark: SparkSession, messages: DataFrame) -> str:
+    # One message per line; Spark's base64 breaks long text into lines of its own.
     path = scratch_path(spark, "messages")
-    messages.select("value").write.text(path)
+    messages.select(F.translate("value", "\r\n", "").alias("value")).write.text(path)
     return path
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from grantlake.entities import AUDIT, ENTITIES, SCOPE, Entity
 from grantlake.operators.snapshot import remove_stale, stale_conditions
-from grantlake.operators.state import apply_changes, routed, split_changes
+from grantlake.operators.state import apply_changes, is_removal, routed, split_changes
 from grantlake.sinks.versions import Version, VersionLog
 
 DEFAULT_BUCKETS = 64
@@ -113,10 +113,14 @@ class StateTable:
         current = self.log.latest()
         if batch_id is not None and current.applied.get(source, -1) >= batch_id:
             return False
-        upserts, deletes = split_changes(changes, self.entity)
-        touched = self._bucket_ids(upserts)
-        if current.paths and not deletes.isEmpty():
-            touched |= self._deleted_buckets(self._read(current), deletes)
+        removal = is_removal(self.entity)
+        # One pass: the buckets of the upserts (a set no larger than the number of buckets), and whether to delete.
+        facts = changes.agg(
+            F.collect_set(F.when(~removal, self._bucket())).alias("buckets"), F.count_if(removal).alias("deletes")
+        ).first()
+        touched = set(facts["buckets"])
+        if current.paths and facts["deletes"]:
+            touched |= self._deleted_buckets(self._read(current), split_changes(changes, self.entity)[1])
         new = apply_changes(self._read(current, touched), changes, self.entity)
         self._publish(current, touched, new, source, batch_id)
         return True

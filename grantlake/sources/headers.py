@@ -50,23 +50,23 @@ def typed_header(df: DataFrame, header: str) -> DataFrame:
     return df.select(*[c for c in df.columns if c != header], *[c.alias(n) for n, c in fields.items()])
 
 
-def known_type(message_type: Column = F.col("message_type")) -> Column:
+def known_type() -> Column:
     """One of the fifteen entity types."""
-    return message_type.isin(*STATE_TYPES)
+    return F.col("message_type").isin(*STATE_TYPES)
 
 
-def audit_type(message_type: Column = F.col("message_type")) -> Column:
-    return message_type == AUDIT.name
+def audit_type() -> Column:
+    return F.col("message_type") == AUDIT.name
 
 
-def supported_version(
-    message_type: Column = F.col("message_type"), version: Column = F.col("event_type_version")
-) -> Column:
+def supported_version() -> Column:
     """Version 1.0, plus the further versions an entity declares; a missing version is refused."""
+    version = F.col("event_type_version")
     accepted = version == "1.0"
     for entity in ENTITIES.values():
         if entity.versions != ("1.0",):
-            accepted = F.when(message_type == entity.name, version.isin(*entity.versions)).otherwise(accepted)
+            mine = F.col("message_type") == entity.name
+            accepted = F.when(mine, version.isin(*entity.versions)).otherwise(accepted)
     return F.coalesce(accepted, F.lit(False))
 
 
@@ -82,6 +82,7 @@ def supported_events(df: DataFrame, audit: bool = False) -> DataFrame:
     return df.filter(wanted & F.col("operation").isin(*operations) & supported_version())
 
 
-def day0_label(operation: Column = F.col("operation"), is_day0: Column = F.col("is_day0")) -> Column:
+def day0_label() -> Column:
     """The operation recorded on the row; routing goes on using the plain operation."""
-    return F.when(is_day0 & (operation == "CREATE"), F.lit("EXPORT")).otherwise(operation)
+    operation = F.col("operation")
+    return F.when(F.col("is_day0") & (operation == "CREATE"), F.lit("EXPORT")).otherwise(operation)
