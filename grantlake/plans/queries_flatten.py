@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 from grantlake.operators.flatten import flatten
 from grantlake.plans.registry import feed, json_of, plain_time, query, spread_table, text
 
-_TIME = plain_time("event_timestamp").alias("event_timestamp")
-
-
 def _objects(*items: Column) -> Column:
     return F.array(*items)
 
@@ -46,7 +43,14 @@ def flatten_role(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rows = flatten(feed(lines, "ROLE", raw, "l_shipdate", "l_linenumber"), "ROLE")
     return rows.select(
-        "id", "access_bundle_id", "status", "approval_workflow_id", "created_on", "ag_managed", "operation_type", _TIME
+        "id",
+        "access_bundle_id",
+        "status",
+        "approval_workflow_id",
+        "created_on",
+        "ag_managed",
+        "operation_type",
+        plain_time("event_timestamp").alias("event_timestamp"),
     )
 
 

@@ -10,6 +10,7 @@ from grantlake.functions.scoring import remediation, score
 from grantlake.operators.flatten import flatten
 from grantlake.operators.state import apply_changes
 from grantlake.plans.registry import feed, json_of, plain_time, query, spread_table, text
+from grantlake.session import stage
 
 # One statement per order, put together from its columns; readable by both engines.
 STATEMENT_SQL = """
@@ -193,7 +194,8 @@ def policy_state_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
         operation=F.when(deleting, "DELETE").otherwise("UPDATE"),
         step=F.col("_group"),
     )
-    state = apply_changes(spark.createDataFrame([], entity.schema), flatten(decoded, entity.name), entity)
+    changes = stage(flatten(decoded, entity.name), "changes")
+    state = apply_changes(spark.createDataFrame([], entity.schema), changes, entity)
     return state.select(
         "id",
         "policy_statement_id",

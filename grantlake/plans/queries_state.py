@@ -9,6 +9,7 @@ from grantlake.entities import ENTITIES, SCOPE, DeleteRoute
 from grantlake.operators.flatten import flatten
 from grantlake.operators.state import apply_changes, apply_deletes, merge_latest, newest_per_key, routed
 from grantlake.plans.registry import OPERATION_SQL, feed, json_of, plain_time, query, spread_table, table, text
+from grantlake.session import stage
 from grantlake.sources.messages import group_order
 
 _EVENT = ["event_id", "ts", "user_id", "event_type", "value", "props"]
@@ -240,7 +241,7 @@ _STATE_ROW = ["id", "resource_name", "external_id", "operation_type"]
 def state_daily_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """UPS, DEL, SEQ, RTE: a month of daily groups applied in one plan, deletes before adds in each."""
     entity = ENTITIES["RESOURCE"]
-    changes = resource_changes(spark, sf_dir, daily=True)
+    changes = stage(resource_changes(spark, sf_dir, daily=True), "changes")
     state = apply_changes(spark.createDataFrame([], entity.schema), changes, entity)
     return state.select(*_STATE_ROW, plain_time("event_timestamp").alias("event_timestamp"))
 
@@ -260,7 +261,7 @@ def state_daily_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 def state_stream_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SEQ-1: one message batch, its operations applied in first-seen order."""
     entity = ENTITIES["RESOURCE"]
-    changes = resource_changes(spark, sf_dir, daily=False)
+    changes = stage(resource_changes(spark, sf_dir, daily=False), "changes")
     state = apply_changes(spark.createDataFrame([], entity.schema), changes, entity)
     return state.select(*_STATE_ROW, plain_time("event_timestamp").alias("event_timestamp"))
 
@@ -305,8 +306,8 @@ def membership_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = events(ordered.filter("l_linenumber <= 3"), "stored", "_at")
     then = events(ordered.withColumn("_at", F.expr("timestamp_ntz'2000-01-01 00:00:00'")), "change", "_at")
     empty = spark.createDataFrame([], entity.schema)
-    base = apply_changes(empty, flatten(first, entity.name), entity)
-    state = apply_changes(base, flatten(then, entity.name), entity)
+    base = apply_changes(empty, stage(flatten(first, entity.name), "changes"), entity)
+    state = apply_changes(base, stage(flatten(then, entity.name), "changes"), entity)
     return state.select("id", "member_global_id", "name")
 
 
@@ -377,7 +378,7 @@ def assignment_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def assignment_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DEL-2, DEL-5, MEM-1: a month of grants and revocations that spare newer rows."""
     entity = ENTITIES["PERMISSION_ASSIGNMENT"]
-    changes = assignment_changes(spark, sf_dir)
+    changes = stage(assignment_changes(spark, sf_dir), "changes")
     state = apply_changes(spark.createDataFrame([], entity.schema), changes, entity)
     return state.select(
         "assignment_id", "external_id", "permission_id", plain_time("event_timestamp").alias("event_timestamp")

@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
         "local[8]",
         **{
             "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
             "spark.sql.shuffle.partitions": "4",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
