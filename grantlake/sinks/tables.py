@@ -61,14 +61,16 @@ class StateTable:
     """
 
     def __init__(self, spark: SparkSession, root: str, entity: Entity, buckets: int = DEFAULT_BUCKETS) -> None:
-        self.spark, self.entity, self.buckets = spark, entity, buckets
+        self.spark, self.entity = spark, entity
         self.log = VersionLog(spark, f"{root.rstrip('/')}/{entity.name}_STATE")
+        # The number of buckets decides where a key lies, so an existing table keeps its own.
+        self.buckets = self.log.latest().buckets or buckets
 
     def create(self, recreate: bool = False) -> None:
         if recreate:
             self.log.drop()
         if not self.log.exists():
-            self.log.commit(Version())
+            self.log.commit(Version(buckets=self.buckets))
 
     def applied(self, source: str, batch_id: int) -> bool:
         return self.log.latest().applied.get(source, -1) >= batch_id
@@ -151,7 +153,8 @@ class StateTable:
             if name.startswith(f"{_BUCKET}=")
         }
         kept = {b: p for b, p in current.paths.items() if int(b) not in touched}
-        self.log.commit(Version(current.number + 1, {**kept, **written}, _applied(current, source, batch_id)))
+        applied = _applied(current, source, batch_id)
+        self.log.commit(Version(current.number + 1, {**kept, **written}, applied, self.buckets))
 
 
 class HistoryTable:

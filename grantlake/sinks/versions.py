@@ -19,11 +19,15 @@ _DIGITS = 20
 
 @dataclass(frozen=True)
 class Version:
-    """``paths`` maps a part of the table to its folder, ``applied`` a source to its last batch."""
+    """``paths`` maps a part of the table to its folder, ``applied`` a source to its last batch.
+
+    ``buckets`` is fixed when the table is first written.
+    """
 
     number: int = 0
     paths: dict[str, str] = field(default_factory=dict)
     applied: dict[str, int] = field(default_factory=dict)
+    buckets: int | None = None
 
 
 class VersionLog:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from grantlake.entities import AUDIT, OPERATIONS, STATE_TYPES
 from grantlake.sources.headers import HEADER_DDL, has_routing_header, typed_header
 from grantlake.sources.payload import explode_payload
 
@@ -38,12 +39,15 @@ def group_order(messages: DataFrame, order: list[str]) -> DataFrame:
 
 
 def message_events(messages: DataFrame, order: list[str]) -> DataFrame:
-    """One row per event, with ``_step`` from the group order and ``_seq`` from the message order.
+    """One row per event of a known type, with ``_step`` from the group order and ``_seq`` from the message order.
 
     The order of groups counts every decoded message, including those a later
     filter drops, because that is when the groups are first seen.
     """
-    steps = group_order(messages, order)
+    # Known types and operations only, so at most a few dozen rows are broadcast; without
+    # the hint a stream's unknown size would have Spark shuffle all messages by group.
+    known = F.col("message_type").isin(*STATE_TYPES, AUDIT.name) & F.col("operation").isin(*OPERATIONS)
+    steps = F.broadcast(group_order(messages.filter(known), order))
     events = explode_payload(messages, "data").withColumns(
         {"_seq": F.struct(*order, "_elem"), "operation_type": F.col("operation")}
     )

@@ -60,6 +60,16 @@ def test_files_to_state_with_snapshot(spark, tmp_path):
     assert feed.state(spark).count() == 2
 
 
+def test_envelope_files(spark, tmp_path):
+    feed = Feed(tmp_path)
+    feed.file("a.json", json.dumps({"headers": header("ROLE"), "data": [{"id": "a"}, {"id": "b"}]}, indent=1))
+    feed.file("b.json", json.dumps({"headers": header("ROLE", "DELETE"), "data": json.dumps({"id": "a"})}))
+    feed.file("c.json", json.dumps({"headers": {**header("ROLE"), "eventTime": None}, "data": {"id": "undated"}}))
+    feed.run(spark, "file", envelopes=True)
+    assert [r["id"] for r in feed.state(spark).collect()] == ["b"]
+    assert feed.reports[-1].reasons == {"ROLE": [("no value for column event_timestamp", 1)]}
+
+
 def test_small_batches_equal_one_batch(spark, tmp_path):
     states = []
     for part, max_files in (("one", 100), ("many", 1)):

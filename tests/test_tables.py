@@ -30,6 +30,7 @@ def test_state_table_rewrites_only_touched_buckets(spark, tmp_path):
     assert sum(before[b] != after.get(b) for b in before) == 1
     assert state.read().count() == 39
     state.load(roles(spark, "new"), "feed", 3)
+    assert StateTable(spark, str(tmp_path), ROLE, buckets=3).buckets == 16
     assert not state.load(roles(spark, "new", operation="DELETE"), "feed", 3)
     assert state.read().filter("id = 'new'").count() == 1
 
