@@ -246,5 +246,7 @@ def _fold(rows: DataFrame, deletes: DataFrame, entity: Entity) -> DataFrame:
         replaces = held.isNull() | (held["kill"] < new["_step"]) | (held["ts"] < new["ts"])
         return F.when(F.coalesce(replaces, F.lit(False)), new).otherwise(held)
 
-    last = lists.select(F.aggregate("items", F.lit(None).cast(item_type), step).alias("last"))
+    # Through a generator, below which Spark does not push the filter and walk twice.
+    walked = F.array(F.aggregate("items", F.lit(None).cast(item_type), step))
+    last = lists.select(F.explode_outer(walked).alias("last"))
     return last.filter(F.col("last.kill").isNull()).select("last.row.*")
