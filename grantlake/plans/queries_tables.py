@@ -10,8 +10,9 @@ from grantlake.operators import offsets as off
 from grantlake.operators import rejects as rej
 from grantlake.operators import snapshot as snap
 from grantlake.operators.flatten import flatten
-from grantlake.plans.load import load_history, load_state
-from grantlake.plans.queries_sources import message_frame
+from grantlake.plans.jobs import run
+from grantlake.plans.load import finish_snapshots, load_history, load_state
+from grantlake.plans.queries_sources import message_frame, write_feed
 from grantlake.plans.queries_state import resource_changes
 from grantlake.plans.registry import OPERATION_SQL, feed, json_of, plain_time, query, spread_table, table, text
 from grantlake.session import scratch_path
@@ -292,8 +293,82 @@ def _message_files(spark: SparkSession, messages: DataFrame) -> str:
     return path
 
 
-def _feed_config(spark: SparkSession, path: str, name: str) -> FeedConfig:
-    return FeedConfig(path, scratch_path(spark, name), scratch_path(spark, f"{name}-progress"), max_files=2, buckets=8)
+def _feed_config(spark: SparkSession, path: str, name: str, max_files: int = 2, **more) -> FeedConfig:
+    return FeedConfig(
+        path, scratch_path(spark, name), scratch_path(spark, f"{name}-progress"), max_files=max_files, buckets=8, **more
+    )
+
+
+@query(
+    "file_to_state",
+    f"""select cast(event_id as varchar) as id, event_type as resource_name, cast(user_id as varchar) as external_id,
+               case when event_type = 'signup' then 'EXPORT' else {OPERATION_SQL} end as operation_type,
+               date_trunc('day', ts) + interval 123456 microseconds as event_timestamp
+        from events where event_type <> 'error'""",
+)
+def file_to_state_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JOB-1, JOB-6, SRC-7: feed files picked up as they arrive, into the state table."""
+    config = _feed_config(spark, write_feed(spark, sf_dir), "file-state", max_files=400, glob="*.txt")
+    run(spark, "file", config).awaitTermination()
+    state = StateTable(spark, config.root, ENTITIES["RESOURCE"]).read()
+    return state.select(
+        "id", "resource_name", "external_id", "operation_type", plain_time("event_timestamp").alias("event_timestamp")
+    )
+
+
+@query(
+    "file_to_history",
+    f"""select cast(event_id as varchar) as id, cast(user_id as varchar) as external_id,
+               case when event_type = 'signup' then 'EXPORT' else {OPERATION_SQL} end as operation_type,
+               date_trunc('day', ts) + interval 123456 microseconds as event_timestamp
+        from events""",
+)
+def file_to_history_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JOB-2: feed files into the history table."""
+    config = _feed_config(spark, write_feed(spark, sf_dir), "file-history", max_files=400, glob="*.txt")
+    run(spark, "file_to_ts", config).awaitTermination()
+    rows = HistoryTable(spark, config.root, ENTITIES["RESOURCE"]).read()
+    return rows.select("id", "external_id", "operation_type", plain_time("event_timestamp").alias("event_timestamp"))
+
+
+@query(
+    "snapshot_finalize",
+    f"""with e as (select *, {OPERATION_SQL} as op, cast(ts as date) as d from events),
+             dels as (select user_id, max(d) as last_d from e where op = 'DELETE' group by user_id),
+             kept as (select e.*, row_number() over (partition by e.user_id order by ts desc, event_id) as rn
+                      from e left join dels using (user_id)
+                      where op <> 'DELETE' and (last_d is null or last_d <= d))
+        select cast(user_id as varchar) as id, cast(event_id as varchar) as external_id, ts as event_timestamp from kept
+        where rn = 1 and ts >= (select min(d) from e where d >= date '2024-01-25')""",
+)
+def snapshot_finalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNP-7: with all batches registered and the marker seen, rows the snapshot did not bring go, once."""
+    root = scratch_path(spark, "snapshot")
+    state = StateTable(spark, root, ENTITIES["RESOURCE"], buckets=8)
+    state.load(resource_changes(spark, sf_dir, daily=True))
+    # Every day from the 25th on is a batch of one snapshot.
+    day = F.to_date("ts")
+    batches = table(spark, sf_dir, "events").filter(day >= F.lit("2024-01-25").cast("date")).select(
+        day.cast("timestamp").alias("event_timestamp"), day.cast("string").alias("batch_id")
+    ).distinct()
+    marker = batches.agg(
+        F.max("event_timestamp").alias("event_timestamp"), F.lit("end").alias("batch_id"), F.count("*").cast("int").alias("num_of_batches")
+    )
+    files = batches.withColumns({"num_of_batches": F.lit(None).cast("int"), "is_marker": F.lit(False)}).unionByName(
+        marker.withColumn("is_marker", F.lit(True))
+    )
+    header = {
+        "message_type": "RESOURCE",
+        "operation": "CREATE",
+        "event_type_version": "1.0",
+        "tenancy_id": "T",
+        "service_instance_id": "S",
+        "snapshot_id": "january",
+    }
+    files = files.withColumns({k: F.lit(v) for k, v in header.items()}).withColumn("_step", F.col("event_timestamp"))
+    finish_snapshots(spark, files.filter("not is_marker"), root, "files", 0)
+    finish_snapshots(spark, files.filter("is_marker"), root, "files", 1)
+    return state.read().select("id", "external_id", plain_time("event_timestamp").alias("event_timestamp"))
 
 
 @query(
