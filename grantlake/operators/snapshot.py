@@ -10,6 +10,9 @@ SNAPSHOT_KEY = LEDGER_KEY[:4]
 LEDGER_DDL = ", ".join(f"{k} string" for k in LEDGER_KEY) + ", updated_at timestamp"
 PENDING_DDL = ", ".join(f"{k} string" for k in SNAPSHOT_KEY) + ", num_of_batches int, scope_tenancy string, scope_service string"
 
+# Both kinds of rows in one table, so that one publication replaces them together.
+TRACKER_DDL = f"{LEDGER_DDL}, num_of_batches int, scope_tenancy string, scope_service string"
+
 NO_SCOPE = "-"
 
 
@@ -21,6 +24,20 @@ def empty_pending(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], PENDING_DDL)
 
 
+def split_tracker(tracker: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(registered batches, pending markers); only markers ask for a number of batches."""
+    marker = F.col("num_of_batches").isNotNull()
+    return (
+        tracker.filter(~marker).select(*LEDGER_KEY, "updated_at"),
+        tracker.filter(marker).select(*SNAPSHOT_KEY, "num_of_batches", "scope_tenancy", "scope_service"),
+    )
+
+
+def join_tracker(ledger: DataFrame, pending: DataFrame) -> DataFrame:
+    columns = [*LEDGER_KEY, "updated_at", "num_of_batches", "scope_tenancy", "scope_service"]
+    return ledger.unionByName(pending, allowMissingColumns=True).select(*columns)
+
+
 def _scope(column: str) -> Column:
     return F.coalesce(F.nullif(F.col(column), F.lit("")), F.lit(NO_SCOPE)).alias(column)
 
