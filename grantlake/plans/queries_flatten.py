@@ -59,7 +59,7 @@ def flatten_role(spark: SparkSession, sf_dir: str) -> DataFrame:
     """select cast(o_orderkey as varchar) as id, o_orderpriority as name,
               case when o_orderstatus = 'O' then '' else o_orderkey || '-' || r end as policy_rule_id,
               case when o_orderstatus = 'O' then '' else 'RULE ' || r end as policy_rule_statement,
-              case when o_orderstatus = 'O' then null else epoch_ms(o_orderdate) end as policy_rule_created_on,
+              case when o_orderstatus = 'O' then null else cast(epoch_ms(o_orderdate) as varchar) end as policy_rule_created_on,
               o_custkey % 7 as ag_risk, 'c' || o_custkey as created_by_value
        from orders, unnest(case when o_orderstatus = 'O' then ['x'] else ['a', 'b'] end) as u(r)""",
 )
@@ -83,7 +83,13 @@ def flatten_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rows = flatten(feed(orders, "POLICY", raw, "o_orderdate", "o_orderkey"), "POLICY")
     return rows.select(
-        "id", "name", "policy_rule_id", "policy_rule_statement", "policy_rule_created_on", "ag_risk", "created_by_value"
+        "id",
+        "name",
+        "policy_rule_id",
+        "policy_rule_statement",
+        text("policy_rule_created_on").alias("policy_rule_created_on"),
+        "ag_risk",
+        "created_by_value",
     )
 
 
@@ -239,7 +245,7 @@ def flatten_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     "flatten_assignment_v1",
     """select 't' || l_orderkey as target_identity_id, 'add' as identity_operation_type,
               'a' || l_partkey as assignment_id, '' as permission_id,
-              case when l_linenumber % 2 = 0 then null else l_linenumber end as valid_from, 'UPDATE' as operation_type
+              case when l_linenumber % 2 = 0 then null else cast(l_linenumber as varchar) end as valid_from, 'UPDATE' as operation_type
        from lineitem where l_returnflag <> 'R'
        union all
        select case when l_linestatus = 'O' then 's' || l_suppkey else 't' || l_orderkey end, 'remove', 'a' || l_suppkey, '', null, 'UPDATE'
@@ -286,7 +292,7 @@ def flatten_assignment_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
         "identity_operation_type",
         "assignment_id",
         "permission_id",
-        "valid_from",
+        text("valid_from").alias("valid_from"),
         "operation_type",
     )
 
@@ -295,7 +301,7 @@ def flatten_assignment_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
     "flatten_assignment_v2",
     """select cast(o_orderkey as varchar) || s as assignment_id, 'c' || o_custkey as target_identity_id,
               case when o_orderstatus = 'F' then 'remove' else 'add' end as identity_operation_type,
-              nullif(o_custkey % 5, 0) as created_on, o_orderpriority as permission_name
+              cast(nullif(o_custkey % 5, 0) as varchar) as created_on, o_orderpriority as permission_name
        from orders, unnest(case when o_orderstatus = 'O' then ['a'] else ['a', 'b'] end) as u(s)""",
 )
 def flatten_assignment_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -324,7 +330,11 @@ def flatten_assignment_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
         version="2.0",
     )
     return flatten(decoded, name).select(
-        "assignment_id", "target_identity_id", "identity_operation_type", "created_on", "permission_name"
+        "assignment_id",
+        "target_identity_id",
+        "identity_operation_type",
+        text("created_on").alias("created_on"),
+        "permission_name",
     )
 
 

@@ -212,7 +212,7 @@ def base64_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "header_values",
     """select o_orderkey,
-              case when o_orderkey % 4 < 2 then cast(o_custkey as integer) end as num_of_batches,
+              case when o_orderkey % 4 < 2 then cast(o_custkey as varchar) end as num_of_batches,
               o_orderkey % 3 = 0 as is_day0
        from orders""",
 )
@@ -225,7 +225,7 @@ def header_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     flag = F.when(F.col("o_orderkey") % 3 == 0, F.lit(" True ")).when(F.col("o_orderkey") % 3 == 1, "yes")
     return table(spark, sf_dir, "orders").select(
-        "o_orderkey", tolerant_int(number).alias("num_of_batches"), tolerant_bool(flag).alias("is_day0")
+        "o_orderkey", text(tolerant_int(number)).alias("num_of_batches"), tolerant_bool(flag).alias("is_day0")
     )
 
 
