@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,17 +34,10 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, taken from the session.
 
-    Only a local master may fall back to a temporary folder, because there the
-    driver's disk is every executor's disk.
+    Where the session names none, it is a folder in the warehouse, which executors share as well.
     """
     folder = spark.conf.get(_CHECKPOINT_KEY, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"{_CHECKPOINT_KEY} must name a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="grantlake-")
-    spark.conf.set(_CHECKPOINT_KEY, folder)
-    return folder
+    return folder.rstrip("/") if folder else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
