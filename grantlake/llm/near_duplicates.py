@@ -4,10 +4,12 @@ A document's set are its distinct five-word shingles. One hash per shingle gives
 range is cut into BANDS * ROWS bins and each bin keeps its smallest hash; an empty bin takes the value of the first
 bin that is not empty in an order fixed for it. Documents that agree on all rows of a band share a bucket.
 
-Documents with equal sets are one class from the start. In each bucket every class is paired with the smallest
-one only, and pairs are confirmed on the full sets. Buckets whose classes all fall into one component are done;
-in the others, classes of different components are paired too, so that a smallest class that resembles only
-some of the others hides no link. At a similarity of 0.75 a pair shares no bucket with a probability of 4e-6.
+Documents with equal sets are one class from the start. In each bucket classes are paired with the smallest one only,
+and pairs are confirmed on the full sets: first each class with one of its smallest classes, then, in buckets whose
+classes are still in several components, with that bucket's. Classes of buckets that are still in several
+components go through an exact prefix filter: whatever order shingles have, two sets that are linked share one of the
+first quarter of theirs. With common shingles last, a passage that many documents share pairs nobody. So a smallest
+class that resembles only some of the others hides no link. At a similarity of 0.75 a pair shares no bucket with a probability of 4e-6.
 
 Null and empty texts have no shingles and are linked with nothing. Rows that share a doc_id are one document for
 linking. A row without doc_id is compared but names no component: its component is that of its class, or null if no row of
@@ -29,6 +31,10 @@ SHINGLE = 5
 BANDS, ROWS = 64, 6
 #: Linked if 100 * intersection >= PERCENT * union.
 PERCENT = 75
+#: Shingles known as common at most.
+COMMON = 1 << 16
+#: Classes of a group that are paired, and classes of a larger group compared with each other in one step.
+SMALL, BLOCK = 64, 256
 CLASSES = c.byte_table(b"\x20\x09\x0a\x0b\x0c\x0d")
 
 _BINS = BANDS * ROWS
@@ -142,6 +148,113 @@ def components(edges: DataFrame) -> DataFrame:
         seen = now
 
 
+def _open(shared: DataFrame, joined: DataFrame) -> DataFrame:
+    """The rows of buckets that hold classes of several components, with the component of each."""
+    label = shared.join(joined.withColumnRenamed("v", "rep"), "rep", "left")
+    label = c.staged(label.select("bucket", "a", "an", "rep", "n", F.coalesce("component", "rep").alias("component")), "labels")
+    mixed = label.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
+    return c.staged(label.join(mixed.select("bucket"), "bucket"), "open")
+
+
+def _among_rare(classes: DataFrame, tested: DataFrame) -> DataFrame:
+    """Linked pairs (a, b) of different components, among classes whose first quarters of shingles, common ones last, meet.
+
+    Groups of up to SMALL classes give pairs, so there are SMALL pairs per row at most; larger ones are compared in blocks.
+
+    ``classes``: rep, n, component, shingles. Which shingles are common is read from a part of the classes, and COMMON of
+    them are kept. This only sets the order; any order gives every linked pair.
+    """
+
+    def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("shingles")]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(own))], ["shingle"])
+
+    part = classes.filter(F.pmod(F.xxhash64("rep"), F.lit(8)) == 0).select("shingles").mapInArrow(exploded, "shingle long")
+    counts = part.groupBy("shingle").count().filter("count > 2").orderBy(F.desc("count"), "shingle").limit(COMMON).toPandas()
+    common = np.sort(counts["shingle"].to_numpy(np.int64).view(np.uint64))
+    often = counts["count"].to_numpy(np.int64)[np.argsort(counts["shingle"].to_numpy(np.int64).view(np.uint64))]
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            firsts, sizes = [], []
+            for x in batch.column("shingles"):
+                own = np.frombuffer(x.as_buffer(), np.uint64)
+                sizes.append(len(own))
+                if len(common):
+                    at = np.minimum(np.searchsorted(common, own), len(common) - 1)
+                    own = own[np.argsort(np.where(common[at] == own, often[at], 0), kind="stable")]
+                firsts.append(own[: len(own) - -(-PERCENT * len(own) // 100) + 1].view(np.int64))
+            of = pa.array(np.repeat(np.arange(len(firsts)), [len(x) for x in firsts]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(firsts)), batch.column("rep").take(of), pa.array(sizes, pa.int64()).take(of), batch.column("component").take(of)],
+                ["shingle", "rep", "n", "component"],
+            )
+
+    rows = c.staged(classes.mapInArrow(prefixes, "shingle long, rep long, n long, component long"), "prefixes")
+    several = rows.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
+    rows = c.staged(rows.join(several.filter("low < high").select("shingle", "size"), "shingle"), "prefixes")
+
+    few = rows.filter(F.col("size") <= SMALL)
+    other = few.select("shingle", F.col("rep").alias("b"), F.col("n").alias("bn"), F.col("component").alias("bc"))
+    pairs = few.join(other, "shingle").filter("rep < b and component <> bc and 100 * least(n, bn) >= %d * greatest(n, bn)" % PERCENT)
+    pairs = pairs.select(F.col("rep").alias("a"), "b").distinct().join(tested, ["a", "b"], "left_anti")
+    links = confirmed(c.staged(pairs, "pairs"), classes.select("rep", "shingles"))
+
+    # A larger group is cut into blocks; each pair of blocks meets in one place, where only links leave the task.
+    blocks = F.ceil(F.col("size") / BLOCK).cast("long")
+    own = F.pmod(F.xxhash64("rep"), blocks)
+    many = rows.filter(F.col("size") > SMALL).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    many = many.select("shingle", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "rep", "component")
+    many = many.join(classes.select("rep", "shingles"), "rep")
+    place = ["shingle", "i", "j"]
+    many = many.repartition(c.shuffle_partitions(rows.sparkSession), *place).sortWithinPartitions(*place)
+    return links.unionByName(many.mapInArrow(_linked, "a long, b long").distinct())
+
+
+def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The linked pairs of different components among consecutive rows with equal (shingle, i, j)."""
+    place, held = None, []
+    for batch in batches:
+        keys = np.stack([batch.column(k).to_numpy() for k in ("shingle", "i", "j")])
+        cuts = np.flatnonzero(np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)])) if batch.num_rows else []
+        found = []
+        for a, b in zip(cuts, [*cuts[1:], batch.num_rows], strict=True):
+            if held and (keys[:, a] != place).any():
+                found.append(_pairs(held))
+                held = []
+            place = keys[:, a]
+            held.append(batch.slice(a, b - a))
+        if found:
+            yield from found
+        # What is held must not keep the batch alive.
+        held = [pa.RecordBatch.from_arrays([pa.concat_arrays([x]).take(pa.array(np.arange(len(x)))) for x in h.columns], schema=h.schema) for h in held]
+    if held:
+        yield _pairs(held)
+
+
+def _pairs(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    rows = pa.Table.from_batches(held)
+    rep, component = rows["rep"].to_numpy(), rows["component"].to_numpy()
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows["shingles"]]
+    sizes = np.array([len(x) for x in sets])
+    every = np.concatenate(sets)
+    _, at, count = np.unique(every, return_inverse=True, return_counts=True)
+    shared = count > 1
+    slot = (np.cumsum(shared) - 1)[at]
+    inside = shared[at]
+    row, slot = np.repeat(np.arange(len(sets)), sizes)[inside], slot[inside]
+    common = np.zeros((len(sets), len(sets)), np.float32)
+    for begin in range(0, int(shared.sum()), 4096):
+        part = (slot >= begin) & (slot < begin + 4096)
+        marks = np.zeros((len(sets), 4096), np.float32)
+        marks[row[part], slot[part] - begin] = 1
+        common += marks @ marks.T
+    linked = 100 * common >= PERCENT * (sizes[:, None] + sizes - common)
+    a, b = np.nonzero(linked & (rep[:, None] < rep) & (component[:, None] != component))
+    return pa.RecordBatch.from_arrays([pa.array(rep[a]), pa.array(rep[b])], ["a", "b"])
+
+
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """Per row: doc_id, n_shingles, class_id (smallest doc_id with the same set), component_id, kept."""
     rows = documents.select(F.col("doc_id").cast("long"), "text")
@@ -156,23 +269,28 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     shared = c.staged(member.join(stars, "bucket"), "shared")
 
     close = 100 * F.least("an", "n") >= PERCENT * F.greatest("an", "n")
-    first = c.staged(shared.filter((F.col("a") != F.col("rep")) & close).select("a", F.col("rep").alias("b")).distinct(), "pairs")
+    stars = shared.filter((F.col("a") != F.col("rep")) & close).select("a", F.col("rep").alias("b"))
+    first = c.staged(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs")
     wanted = shared.select("rep").distinct().join(classes.select("rep", "d1", "d2"), "rep")
     sets = rows.join(wanted.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, d1 long, d2 long, shingles binary")
     sets = sets.groupBy("doc_id", "d1", "d2").agg(F.first("shingles").alias("shingles")).withColumnRenamed("doc_id", "rep")
     sets = c.staged(sets.join(wanted, ["rep", "d1", "d2"], "left_semi").select("rep", "shingles"), "sets")
     edges = c.staged(confirmed(first, sets), "links")
-
     joined = components(edges)
-    label = shared.join(joined.withColumnRenamed("v", "rep"), "rep", "left").select(
-        "bucket", "rep", "n", F.coalesce("component", "rep").alias("component")
+
+    # Other smallest classes of buckets that are still in several components.
+    label = _open(shared, joined)
+    second = label.join(label.select("bucket", F.col("rep").alias("ra"), F.col("component").alias("ac")), ["bucket"]).filter(
+        "ra = a and rep <> a and component <> ac"
     )
-    open_ = label.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    rest = c.staged(label.join(open_.select("bucket"), "bucket"), "rest")
-    other = rest.select("bucket", F.col("rep").alias("b"), F.col("n").alias("bn"), F.col("component").alias("bc"))
-    second = rest.join(other, "bucket").filter("rep < b and component <> bc and 100 * least(n, bn) >= %d * greatest(n, bn)" % PERCENT)
-    second = second.select(F.col("rep").alias("a"), "b").distinct().join(first, ["a", "b"], "left_anti")
+    second = second.filter(close).select("a", F.col("rep").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
     more = c.staged(confirmed(c.staged(second, "pairs"), sets), "links")
+    if more.limit(1).count():
+        edges = edges.unionByName(more)
+        joined = components(edges)
+
+    left = _open(shared, joined).select("rep", "n", "component").distinct()
+    more = c.staged(_among_rare(c.staged(left.join(sets, "rep"), "open"), first), "links")
     if more.limit(1).count():
         joined = components(edges.unionByName(more))
     joined = c.staged(joined, "components")
