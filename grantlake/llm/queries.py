@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
+from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grantlake.llm import near_duplicates, positional_index
+from grantlake.llm import near_duplicates, piece_merges, positional_index
 from grantlake.llm.common import table
 
+#: The vocabulary file of the tokenizer; a path of the driver.
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -34,3 +40,18 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def token_digests(documents: DataFrame) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every text."""
+
+    def digests(ids: str, n: int, text: str) -> tuple[int, str, str]:
+        return n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()
+
+    columns = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return piece_merges.encoded(documents, Path(PIECE_MODEL).read_bytes(), ["doc_id"], columns, digests)
+
+
+@_query
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(table(spark, sf_dir, "documents"))
