@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grantlake.llm import near_duplicates, piece_merges, positional_index
+from grantlake.llm import near_duplicates, piece_merges, positional_index, subword_quality, toxicity
 from grantlake.llm.common import table
 
 #: The vocabulary file of the tokenizer; a path of the driver.
@@ -55,3 +55,17 @@ def token_digests(documents: DataFrame) -> DataFrame:
 @_query
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _predicted(toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+@_query
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _predicted(subword_quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+def _predicted(found: DataFrame) -> DataFrame:
+    return found.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
