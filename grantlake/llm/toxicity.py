@@ -1,6 +1,6 @@
 """Toxicity by a counterfactually regularised classifier.
 
-Logistic regression on the distinct words of a text. Sentences of labelled texts that name a group are copied with
+Logistic regression on the distinct words, and beginnings of words, of a text. Sentences of labelled texts that name a group are copied with
 the group exchanged for each of a few others, and the squared change of the score enters the loss, so a group's name
 by itself moves no score; a sparse penalty keeps words without evidence at zero.
 
@@ -30,6 +30,8 @@ IDENTITY_TERMS = (
     ("mujeres", "hombres"), ("musulmanes", "cristianos", "judíos"),
 )
 BUCKETS = 1 << 18
+#: Beginnings of words, in bytes, that are features beside whole words.
+PREFIXES = (4, 5)
 SWAP_PENALTY = 10.0
 CHOICE_PENALTY = 4e-3
 SPARSE_PENALTY = 2e-5
@@ -39,16 +41,25 @@ CLASSES = c.byte_table(bytes(range(0x41)) + bytes(range(0x5B, 0x61)) + bytes(ran
 
 
 def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (row, bucket) of the distinct words of each text."""
+    """Pairs (row, bucket) of the distinct words and beginnings of each text."""
     data, offsets = c.utf8(texts)
     marks, begins, ends, rows = c.word_spans(data, offsets, CLASSES)
-    words = (c.span_hashes(marks, begins, ends) % np.uint64(BUCKETS)).astype(np.int64)
-    keys = np.unique(np.repeat(np.arange(len(rows) - 1), np.diff(rows)) * BUCKETS + words)
+    words = c.span_hashes(marks, begins, ends)
+    row = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
+    found = [row * BUCKETS + (words % np.uint64(BUCKETS)).astype(np.int64)]
+    for n in PREFIXES:
+        long = ends - begins > n
+        start = c.span_hashes(marks, begins[long], begins[long] + n) + np.uint64(n)
+        found.append(row[long] * BUCKETS + (start % np.uint64(BUCKETS)).astype(np.int64))
+    keys = np.unique(np.concatenate(found))
     return keys // BUCKETS, keys % BUCKETS
 
 
-def _word_buckets(words: Sequence[str]) -> np.ndarray:
-    return features(pa.array([" ".join(words)]))[1] if words else np.zeros(0, np.int64)
+def _word(word: str) -> tuple[int, set[int]]:
+    """The bucket of a word itself, and those of the word and its beginnings."""
+    data, offsets = c.utf8(pa.array([word]))
+    marks, begins, ends, _ = c.word_spans(data, offsets, CLASSES)
+    return int(c.span_hashes(marks, begins, ends)[0] % np.uint64(BUCKETS)), set(features(pa.array([word]))[1].tolist())
 
 
 @dataclass
@@ -65,13 +76,15 @@ def swapped(rows: np.ndarray, buckets: np.ndarray, groups: Sequence[Sequence[str
     """For texts that name a group: number of the exchange, buckets, and +1 for words that go, -1 for those that come."""
     number, out = 0, ([], [], [])
     for group in groups:
-        own = [int(_word_buckets([w])[0]) for w in group]
-        for k, b in enumerate(own):
-            for _ in rows[buckets == b]:
-                for other in [x for x in own[k + 1 :] + own[:k] if x != b][:SWAPS_PER_TEXT]:
-                    out[0].extend([number, number])
-                    out[1].extend([b, other])
-                    out[2].extend([1.0, -1.0])
+        own = [_word(w) for w in group]
+        for k, (whole, parts) in enumerate(own):
+            others = [x for _, x in own[k + 1 :] + own[:k] if x != parts][:SWAPS_PER_TEXT]
+            for _ in rows[buckets == whole]:
+                for other in others:
+                    for sign, some in ((1.0, parts - other), (-1.0, other - parts)):
+                        out[0].extend([number] * len(some))
+                        out[1].extend(some)
+                        out[2].extend([sign] * len(some))
                     number += 1
     return np.array(out[0], np.int64), np.array(out[1], np.int64), np.array(out[2])
 
