@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pathlib import Path
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grantlake.llm import near_duplicates, piece_merges, positional_index, subword_quality, toxicity
+from grantlake.llm import near_duplicates, pii_patterns, piece_merges, positional_index, subword_quality, toxicity
 from grantlake.llm.common import table
 
 #: The vocabulary file of the tokenizer; a path of the driver.
@@ -69,3 +69,19 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _predicted(found: DataFrame) -> DataFrame:
     return found.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@_query
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii_patterns.spans_of(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii_patterns.KINDS))
+    counts = [_count(kind).alias(f"n_{kind}") for kind in pii_patterns.KINDS]
+    return found.select("doc_id", *counts, F.sha2(_spelled(base), 256).alias("base_sha256"), _spelled(F.col("spans")).alias("spans"))
+
+
+def _count(kind: str) -> Column:
+    return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+
+def _spelled(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["begin"].cast("string"), s["end"].cast("string"))), ",")
