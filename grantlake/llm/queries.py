@@ -10,7 +10,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grantlake.llm import near_duplicates, pii_patterns, piece_merges, positional_index, subword_quality, toxicity
+from grantlake.llm import (
+    chat_windows,
+    learned_partitions,
+    minimax_shards,
+    near_duplicates,
+    pii_patterns,
+    piece_merges,
+    positional_index,
+    secret_models,
+    subword_quality,
+    toxicity,
+)
 from grantlake.llm.common import table
 
 #: The vocabulary file of the tokenizer; a path of the driver.
@@ -85,3 +96,45 @@ def _count(kind: str) -> Column:
 
 def _spelled(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["begin"].cast("string"), s["end"].cast("string"))), ",")
+
+
+@_query
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return learned_partitions.neighbours(table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minimax_shards.sharded(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@_query
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marks = "</s>[INST] ok [/INST]"
+    own = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(marks).alias("text"),
+    )
+    given = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+    read = chat_windows.read_back(chat_windows.windows(given.unionByName(own)))
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    # The digests of a conversation need its texts in one row.
+    whole = read.groupBy("conv_id").agg(
+        F.sum(F.size("turns")).cast("long").alias("n_turns"),
+        F.array_sort(F.collect_list(F.struct("window", told.alias("told"), F.array_join("masked", "").alias("masked")))).alias("parts"),
+        F.sum("chars").alias("formatted_chars"),
+    )
+    masked = F.array_join("parts.masked", "")
+    return whole.select(
+        "conv_id", "n_turns", F.sha2(F.array_join("parts.told", ""), 256).alias("turns_sha256"),
+        F.length(masked).cast("long").alias("loss_chars"), F.sha2(masked, 256).alias("loss_sha256"), "formatted_chars",
+    )
+
+
+@_query
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_models.spans_of(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] != "markov")
+    counts = [_count(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")]
+    return found.select("doc_id", *counts, F.sha2(_spelled(base), 256).alias("base_sha256"), _spelled(F.col("spans")).alias("spans"))
