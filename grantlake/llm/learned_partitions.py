@@ -2,7 +2,8 @@
 
 On a bounded sample the nearest-neighbour graph is cut into parts of equal size that keep neighbours together. A small
 classifier learns from a vector the parts of its neighbours. It puts every row into its most probable part, and sends
-a query to several most probable ones, where exact inner products in double precision rank all rows.
+a query to several most probable ones, where exact inner products in double precision rank all rows. Held-out rows of
+the sample tell how many parts to ask: few where vectors cluster, most where they lie alike in all directions.
 
 Parts are dealt in blocks of rows and of queries, so a part may hold any share of the table. A query asks more parts while
 those it has hold fewer rows than it wants. Rows whose vector is null, zero, of another length than most, or holds null or
@@ -24,8 +25,10 @@ from pyspark.sql import functions as F
 
 from grantlake.llm import common as c
 
-#: Rows fitted on at most (smallest hashes of vec_id), parts, neighbours in the graph, parts asked.
-FIT_ROWS, PARTS, NEIGHBOURS, ASKED = 4096, 32, 10, 10
+#: Rows fitted on at most (smallest hashes of vec_id), of these held out to tell how many parts to ask; parts; neighbours in the graph.
+FIT_ROWS, HELD_ROWS, PARTS, NEIGHBOURS = 4096, 512, 32, 10
+#: Share of the true neighbours that held-out rows have to find in the sample.
+TARGET = 0.95
 #: Rows and queries that meet in one task at a time.
 BLOCK_ROWS, BLOCK_QUERIES = 20_000, 4_000
 HIDDEN, EPOCHS = 96, 40
@@ -109,6 +112,15 @@ def fitted(vectors: np.ndarray, seed: int = 5) -> Router:
     return Router(layers, width)
 
 
+def parts_to_ask(router: Router, held: np.ndarray, others: np.ndarray, top: int) -> int:
+    """The fewest parts in which ``held`` find TARGET of their nearest among ``others``."""
+    truth = np.argsort(-(held @ others.T), axis=1, kind="stable")[:, :top]
+    place = np.argsort(np.argsort(-router.logits(held), axis=1, kind="stable"), axis=1)
+    own = router.logits(others).argmax(axis=1)
+    needed = np.sort(np.take_along_axis(place, own[truth], axis=1).ravel())
+    return int(needed[min(len(needed) - 1, int(np.ceil(TARGET * len(needed))) - 1)]) + 1 if len(needed) else 1
+
+
 def _valid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """vec_id and the vector's doubles as bytes."""
     for batch in batches:
@@ -145,8 +157,11 @@ def _best(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, rows: np.ndarray, t
     return pd.DataFrame({"query_id": columns[0], "vec_id": columns[1], "score": columns[2]})
 
 
-def neighbours(embeddings: DataFrame, every: int = 20, top: int = 20, asked: int = ASKED) -> DataFrame:
-    """For each row whose vec_id is divisible by ``every``: query_id, rank, vec_id, score of the ``top`` nearest found."""
+def neighbours(embeddings: DataFrame, every: int = 20, top: int = 20, asked: int | None = None) -> DataFrame:
+    """For each row whose vec_id is divisible by ``every``: query_id, rank, vec_id, score of the ``top`` nearest found.
+
+    ``asked`` parts are searched for each query; None takes as many as held-out rows of the sample need.
+    """
     spark = embeddings.sparkSession
     rows = embeddings.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>")).mapInArrow(_valid, "vec_id long, vector binary")
     rows = c.staged(rows.groupBy("vec_id").agg(F.min("vector").alias("vector")), "vectors")
@@ -155,7 +170,10 @@ def neighbours(embeddings: DataFrame, every: int = 20, top: int = 20, asked: int
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     size = Counter(map(len, sample)).most_common(1)[0][0]
     sample = np.unique(np.stack([np.frombuffer(v, np.float64) for v in sample if len(v) == size]), axis=0)
-    router = fitted(sample[np.random.default_rng(1).permutation(len(sample))])
+    sample = sample[np.random.default_rng(1).permutation(len(sample))]
+    held = sample[: min(HELD_ROWS, len(sample) // 4)]
+    router = fitted(sample[len(held) :])
+    asked = asked or parts_to_ask(router, held, sample[len(held) :], top)
     width, parts = router.width, len(router.layers[3])
     rows = rows.filter(F.octet_length("vector") == size)
 

@@ -74,7 +74,7 @@ def ratios(documents: DataFrame, scan: DataFrame) -> Column:
     values = F.concat(F.transform("assign", lambda s: F.regexp_extract(s["value"], ASSIGN, 1)), "access.value", "hex.value")
     strange = hits.select(F.lit(1).alias("label"), F.explode(values).alias("value")).distinct().orderBy(F.xxhash64("value")).limit(FIT_STRINGS)
     texts = documents.select(F.col("doc_id").cast("long"), "text").orderBy(some, "doc_id").limit(FIT_DOCUMENTS)
-    words = texts.select(F.lit(0).alias("label"), F.explode(F.regexp_extract_all("text", F.lit(r"[A-Za-z][a-z_]{3,}"), F.lit(0))).alias("value"))
+    words = texts.select(F.lit(0).alias("label"), F.explode(F.regexp_extract_all("text", F.lit(r"[A-Za-z][A-Za-z_]{3,}"), F.lit(0))).alias("value"))
     words = words.distinct().orderBy(F.xxhash64("value")).limit(FIT_STRINGS)
     counted = {(r["label"], r["pair"]): r["count"] for r in _pairs(strange.unionByName(words)).collect()}
     size = len(_CHARACTERS)
@@ -98,7 +98,8 @@ def spans_of(documents: DataFrame) -> DataFrame:
     scan = c.staged(scanned(documents), "scan")
     ratio = ratios(documents, scan)
     token = scan.withColumn("base", F.concat("assign", "access", "hex"))
-    apart = F.filter("markov", lambda t: ~F.exists("base", lambda b: (b["begin"] < t["end"]) & (t["begin"] < b["end"])))
+    # Digits alone are numbers, not names of either sort.
+    apart = F.filter("markov", lambda t: t["value"].rlike("[A-Za-z]") & ~F.exists("base", lambda b: (b["begin"] < t["end"]) & (t["begin"] < b["end"])))
     codes = F.transform(apart, lambda t: F.struct(t.alias("t"), F.transform(F.split(t["value"], ""), lambda x: F.instr(F.lit(_CHARACTERS), x) - 1).alias("codes")))
     chosen = F.filter("coded", lambda t: _score(t["codes"], ratio) >= F.greatest(F.lit(LEAST_RATIO), LEAST_PER_CHARACTER * F.size(t["codes"])))
     out = token.withColumn("coded", codes).withColumn("markov", F.transform(chosen, lambda t: t["t"]))
