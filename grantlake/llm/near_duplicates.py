@@ -302,3 +302,15 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
         component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"),
     )
+
+
+def deduplicated(documents: DataFrame) -> DataFrame:
+    """``documents`` with one row of each component, all columns kept; a row without doc_id goes by a hash of its text."""
+    key = c.fresh(documents, "kept_id")
+    keyed = documents.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")))
+    found = c.staged(near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text")).filter("kept").select(F.col("doc_id").alias(key)), "kept")
+    repeated = c.staged(found.groupBy(key).count().filter("count > 1").select(key), "repeated")
+    rows = keyed.join(found.distinct(), key, "left_semi")
+    if repeated.limit(1).count():
+        rows = rows.join(repeated, key, "left_anti").unionByName(rows.join(repeated, key, "left_semi").dropDuplicates([key]))
+    return rows.select(*documents.columns)

@@ -176,15 +176,17 @@ def discovered(documents: DataFrame) -> DataFrame:
     return spans.select("doc_id", "text_hash", F.concat(F.lit("context_"), "kind").alias("kind"), "begin", "end").distinct()
 
 
-def with_spans(documents: DataFrame) -> DataFrame:
-    """``documents`` (doc_id, text and others) with ``found``: kind, begin, end of what context finds."""
-    keyed = documents.withColumn("text_hash", F.xxhash64("text"))
-    spans = discovered(keyed.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "text_hash"))
+def with_spans(documents: DataFrame) -> tuple[DataFrame, str]:
+    """``documents`` with a further column, and its name: kind, begin, end of what context finds."""
+    key, name = c.fresh(documents, "text_hash"), c.fresh(documents, "found")
+    keyed = documents.withColumn(key, F.xxhash64("text"))
+    spans = discovered(keyed.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col(key).alias("text_hash")))
     # A text has few such spans: each needs two words of its own before it.
-    spans = spans.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_list(F.struct("kind", "begin", "end"))).alias("found"))
-    spans = c.staged(spans.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h"), "found"), "found")
-    on = keyed["doc_id"].eqNullSafe(F.col("_d")) & (keyed["text_hash"] == F.col("_h"))
-    return keyed.join(spans, on, "left").drop("_d", "_h", "text_hash")
+    spans = spans.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_list(F.struct("kind", "begin", "end"))).alias(name))
+    left, right = c.fresh(documents, "_d"), c.fresh(documents, "_h")
+    spans = c.staged(spans.select(F.col("doc_id").alias(left), F.col("text_hash").alias(right), name), "found")
+    on = keyed["doc_id"].eqNullSafe(F.col(left)) & (keyed[key] == F.col(right))
+    return keyed.join(spans, on, "left").drop(left, right, key), name
 
 
 def all_spans(text: str, found: list[dict] | None) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
@@ -207,7 +209,8 @@ def spans_of(documents: DataFrame) -> DataFrame:
             kind = pa.list_(pa.struct([("kind", pa.string()), ("begin", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, kind)], ["doc_id", "spans"])
 
-    rows = with_spans(documents.select("doc_id", "text")).select(F.col("doc_id").cast("long"), "text", "found")
+    rows, name = with_spans(documents.select("doc_id", "text"))
+    rows = rows.select(F.col("doc_id").cast("long"), "text", F.col(name).alias("found"))
     return rows.mapInArrow(run, "doc_id long, spans array<struct<kind string, begin long, end long>>")
 
 
@@ -218,7 +221,7 @@ def masked(documents: DataFrame) -> DataFrame:
         for batch in c.slices(batches):
             at = batch.schema.get_field_index("text")
             out = []
-            for text, found in zip(batch.column(at).to_pylist(), batch.column("found").to_pylist(), strict=True):
+            for text, found in zip(batch.column(at).to_pylist(), batch.column(name).to_pylist(), strict=True):
                 base, more = all_spans(text, found)
                 parts, done = [], 0
                 for kind, begin, end in sorted([*base, *more], key=lambda s: (s[1], -s[2])):
@@ -226,7 +229,7 @@ def masked(documents: DataFrame) -> DataFrame:
                         parts += [text[done:begin], f"<{kind.removeprefix('context_')}>"]
                     done = max(done, end)
                 out.append("".join([*parts, text[done:]]) if parts else text)
-            yield batch.set_column(at, "text", pa.array(out, pa.string())).drop_columns(["found"])
+            yield batch.set_column(at, "text", pa.array(out, pa.string())).drop_columns([name])
 
-    rows = with_spans(documents)
-    return rows.mapInArrow(run, rows.drop("found").schema)
+    rows, name = with_spans(documents)
+    return rows.mapInArrow(run, documents.schema)

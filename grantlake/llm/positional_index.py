@@ -283,3 +283,12 @@ def judged(index: Index, found: DataFrame) -> DataFrame:
         "doc_id", F.col("n").alias("n_words"), F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
     ).withColumn("contaminated", F.expr("n_hit > 0 and 20 * n_hit >= n_words"))
+
+
+def decontaminated(documents: DataFrame, items: DataFrame) -> DataFrame:
+    """``documents`` without contaminated ones, all columns kept; a row without doc_id goes by a hash of its text."""
+    key = c.fresh(documents, "known_id")
+    keyed = documents.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")))
+    found = contamination(keyed.select(F.col(key).alias("doc_id"), "text"), items).filter("contaminated")
+    found = c.staged(found.select(F.col("doc_id").alias(key)).distinct(), "contaminated")
+    return keyed.join(found, key, "left_anti").select(*documents.columns)

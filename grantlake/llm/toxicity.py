@@ -10,7 +10,7 @@ repeat repeat their scores. Without labels of both classes the score is that of
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -142,6 +142,19 @@ def _descended(rows, col, swap, swap_col, sign, n_used, labels, share, penalty)
     return w, bias
 
 
+def kept(documents: DataFrame, labels: DataFrame, least: float = 0.3, held: int = 2, parts: int = 4) -> DataFrame:
+    """The rows of ``documents`` that score below ``least``, with all their columns."""
+    texts, ys, odds = labelled.sampled(documents, labels, "toxic", labelled.bucket(parts) != held)
+    sent = documents.sparkSession.sparkContext.broadcast(fitted(texts, ys, odds))  # a megabyte
+    bound = float(np.log(least / (1 - least)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in c.slices(batches):
+            yield batch.filter(pa.array(sent.value.logits(batch.column("text")) < bound))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
 def scores(documents: DataFrame, labels: DataFrame, held: int = 2, parts: int = 4) -> DataFrame:
     """doc_id, held_out and score of every row; labels of rows that are held out are not read."""
     texts, ys, odds = labelled.sampled(documents, labels, "toxic", labelled.bucket(parts) != held)
