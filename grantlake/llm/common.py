@@ -44,6 +44,18 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def hashed_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """The ``rows`` rows with the smallest hashes of ``key`` (all, if fewer).
+
+    Rows whose hash is beyond a share of the range go before the sort, so that what meets in one task is bounded by ``rows``.
+    """
+    total = df.count()
+    spread = F.pmod(F.xxhash64(key), F.lit(1 << 32))
+    if total > 2 * rows:
+        df = df.filter(spread < int(1.5 * rows / total * (1 << 32)))
+    return df.orderBy(spread, key).limit(rows)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` doesn't have."""
     taken = {c.lower() for c in df.columns}

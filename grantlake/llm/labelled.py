@@ -31,7 +31,7 @@ def sampled(documents: DataFrame, labels: DataFrame, label: str, usable: Column,
     odds = float(np.log((counts.get(1, 0) + 0.5) / (counts.get(0, 0) + 0.5)))
     picked = None
     for y in (0, 1):
-        part = own.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+        part = c.hashed_sample(own.filter(F.col("y") == y), "doc_id", rows)
         picked = part if picked is None else picked.unionByName(part)
     # Two ids per fitted row of sixteen bytes: a fixed bound.
     found = documents.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(picked), "doc_id")

@@ -165,7 +165,7 @@ def neighbours(embeddings: DataFrame, every: int = 20, top: int = 20, asked: int
     spark = embeddings.sparkSession
     rows = embeddings.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>")).mapInArrow(_valid, "vec_id long, vector binary")
     rows = c.staged(rows.groupBy("vec_id").agg(F.min("vector").alias("vector")), "vectors")
-    sample = [bytes(r["vector"]) for r in rows.orderBy(F.xxhash64("vec_id")).limit(FIT_ROWS).select("vector").toLocalIterator()]
+    sample = [bytes(r["vector"]) for r in c.hashed_sample(rows, "vec_id", FIT_ROWS).select("vector").toLocalIterator()]
     if not sample:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     size = Counter(map(len, sample)).most_common(1)[0][0]

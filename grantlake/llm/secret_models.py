@@ -69,11 +69,12 @@ def _pairs(strings: DataFrame) -> DataFrame:
 
 def ratios(documents: DataFrame, scan: DataFrame) -> Column:
     """Log-likelihood ratios by pair of characters, as an array; trained on bounded samples of both labels."""
-    some = F.xxhash64("doc_id")
-    hits = scan.filter("size(assign) + size(access) + size(hex) > 0").orderBy(some, "doc_id").limit(FIT_DOCUMENTS)
+    hits = c.hashed_sample(scan.filter("size(assign) + size(access) + size(hex) > 0"), "doc_id", FIT_DOCUMENTS)
     values = F.concat(F.transform("assign", lambda s: F.regexp_extract(s["value"], ASSIGN, 1)), "access.value", "hex.value")
     strange = hits.select(F.lit(1).alias("label"), F.explode(values).alias("value")).distinct().orderBy(F.xxhash64("value")).limit(FIT_STRINGS)
-    texts = documents.select(F.col("doc_id").cast("long"), "text").orderBy(some, "doc_id").limit(FIT_DOCUMENTS)
+    # Ids are chosen first: so many numbers of eight bytes are a fixed bound, and no texts meet in one task.
+    ids = c.hashed_sample(documents.select(F.col("doc_id").cast("long")), "doc_id", FIT_DOCUMENTS)
+    texts = documents.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(ids), "doc_id", "left_semi")
     words = texts.select(F.lit(0).alias("label"), F.explode(F.regexp_extract_all("text", F.lit(r"[A-Za-z][A-Za-z_]{3,}"), F.lit(0))).alias("value"))
     words = words.distinct().orderBy(F.xxhash64("value")).limit(FIT_STRINGS)
     counted = {(r["label"], r["pair"]): r["count"] for r in _pairs(strange.unionByName(words)).collect()}
