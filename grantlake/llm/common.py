@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from grantlake.session import scratch_path
 
 #: Bytes of text handled at once in a task; a longer text is handled alone.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 

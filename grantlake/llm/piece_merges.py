@@ -25,7 +25,7 @@ from grantlake.llm import common as c
 
 SPACE = "▁"
 #: Units whose encoding a task remembers.
-REMEMBERED = 200_000
+REMEMBERED = 60_000
 _UNITS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _NONE = np.iinfo(np.int64).max
 _WIDE = 1 << 21
