@@ -97,8 +97,10 @@ def _ranks(v: Vocabulary, left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 def encode_units(v: Vocabulary, units: list[str]) -> list[np.ndarray]:
     """The ids of each unit."""
+    if not units:
+        return []
     flat = "".join(units)
-    lengths = np.array([len(u) for u in units])
+    lengths = np.array([len(u) for u in units], np.int64)
     code = np.frombuffer(flat.encode("utf-32-le", "surrogatepass"), np.uint32)
     kinds, back = np.unique(code, return_inverse=True)
     table = np.array([v.symbols.get(chr(k), -1) for k in kinds], np.int64)
@@ -155,7 +157,7 @@ def encode_units(v: Vocabulary, units: list[str]) -> list[np.ndarray]:
         place = np.repeat(place, sizes)
         symbols = ids
     ends = np.searchsorted(place, np.cumsum(lengths))
-    return np.split(symbols, ends[:-1]) if len(units) else []
+    return np.split(symbols, ends[:-1])
 
 
 def encode(v: Vocabulary, text: str) -> list[int]:

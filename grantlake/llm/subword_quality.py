@@ -24,7 +24,8 @@ from grantlake.llm import labelled
 BUCKETS = 1 << 17
 WIDTH = 16
 GRAMS = (3, 4, 5)
-EPOCHS = 5
+#: Rounds over the sample; a small sample takes more, up to so many gradient steps.
+EPOCHS, LEAST_STEPS = 5, 1000
 RATE = 0.5
 #: Documents of a gradient step.
 STEP_ROWS = 16
@@ -128,9 +129,10 @@ def fitted(texts: list[str], labels: np.ndarray, odds: float, seed: int = 7) ->
     layer, bias = np.zeros((WIDTH, 2), np.float32), np.zeros(2, np.float32)
     weight = np.where(labels == 1, len(labels) / (2 * (labels == 1).sum()), len(labels) / (2 * (labels == 0).sum()))
     target = np.eye(2, dtype=np.float32)[labels]
-    steps = EPOCHS * -(-len(texts) // STEP_ROWS)
-    done = 0
-    for _ in range(EPOCHS):
+    in_round = -(-len(texts) // STEP_ROWS)
+    rounds = max(EPOCHS, -(-LEAST_STEPS // in_round))
+    steps, done = rounds * in_round, 0
+    for _ in range(rounds):
         order = random.permutation(len(texts))
         for begin in range(0, len(texts), STEP_ROWS):
             some = order[begin : begin + STEP_ROWS]
