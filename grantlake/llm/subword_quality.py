@@ -27,6 +27,8 @@ GRAMS = (3, 4, 5)
 #: Rounds over the sample; a small sample takes more, up to so many gradient steps.
 EPOCHS, LEAST_STEPS = 5, 1000
 RATE = 0.5
+#: How much faster vectors learn than the layer, and the layer's greatest norm.
+PULL, LAYER_NORM = 4.0, 4.0
 #: Documents of a gradient step.
 STEP_ROWS = 16
 _RAW = np.arange(256, dtype=np.uint8)
@@ -145,10 +147,11 @@ def fitted(texts: list[str], labels: np.ndarray, odds: float, seed: int = 7) ->
             error = (p - target[some]) * weight[some, None].astype(np.float32)
             back = error @ layer.T
             layer -= rate * mean.T @ error
+            layer *= min(1.0, LAYER_NORM / max(1e-9, float(np.linalg.norm(layer))))  # keeps steps from overshooting
             bias -= rate * error.sum(axis=0) / len(some)
             for i, step in zip(some, back, strict=True):
                 own = slice(cut[i], cut[i + 1])
-                vectors[col[own]] -= rate * WIDTH * share[own, None] * step
+                vectors[col[own]] -= rate * PULL * share[own, None] * step
     pull = np.zeros(BUCKETS, np.float32)
     pull[used] = vectors @ (layer[:, 1] - layer[:, 0])
     return Model(pull, float(bias[1] - bias[0]) + odds)
