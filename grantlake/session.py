@@ -16,6 +16,7 @@ def build_session(app: str = "grantlake", master: str | None = None, **conf: str
         builder = builder.master(master)
     settings = {
         "spark.sql.session.timeZone": "UTC",
+        "spark.sql.variant.allowDuplicateKeys": "true",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         **conf,
@@ -28,6 +29,8 @@ def build_session(app: str = "grantlake", master: str | None = None, **conf: str
 def pin_utc(spark: SparkSession) -> SparkSession:
     """Event times are UTC; text without an offset must not pick up a local zone."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # Of equal fields in one object the last counts; the event must not be lost for them.
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     return spark
 
 
