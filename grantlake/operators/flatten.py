@@ -519,7 +519,7 @@ def _flatten_identity(events: DataFrame, entity: ent.Entity) -> DataFrame:
         "identity_attributes": F.when(target_account, F.lit("{}")).otherwise(
             F.coalesce(F.col("_identity_json"), F.lit("{}"))
         ),
-        "ti_operation_type": F.when(F.col("g.targetIdentities").isNotNull(), F.col("operation_type")).otherwise(""),
+        "ti_operation_type": F.when(F.col("g.targetIdentities").isNotNull(), F.col("operation")).otherwise(""),
         "ti_event_timestamp": F.when(has_target, F.col("event_timestamp")),
         "ti_external_id": _text(F.col("_item.externalId")),
         "ti_id": F.when(has_target, _key_text(F.col("_item.id"))).otherwise(""),
