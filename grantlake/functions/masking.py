@@ -15,27 +15,24 @@ MASK = ["***"]
 
 
 def _mask_udf():
-    """The tree walk as a UDF that carries its own code, so workers need not have the package."""
+    """Masking while the text is read, as a UDF that carries its own code, so workers need not have the package."""
     words, mask = SENSITIVE_WORDS, MASK
 
-    def masked(node):
-        if isinstance(node, list):
-            return [masked(item) for item in node]
-        if not isinstance(node, dict):
-            return node
-        out = {name: masked(child) for name, child in node.items()}
-        selection = node.get("selection")
-        if "value" in out and isinstance(selection, str):
-            lowered = selection.lower()
-            if any(word in lowered for word in words):
-                out["value"] = mask
-        return out
+    def closed(pairs):
+        """Called by the JSON reader for each object when its last field is read."""
+        found = dict(pairs)
+        chosen = found.get("selection")
+        if "value" in found and isinstance(chosen, str) and any(word in chosen.lower() for word in words):
+            found["value"] = mask
+        return found
 
     def mask_text(text):
         try:
-            return json.dumps(masked(json.loads(text)), ensure_ascii=False, separators=(",", ":"))
+            return json.dumps(json.loads(text, object_pairs_hook=closed), ensure_ascii=False, separators=(",", ":"))
         except ValueError:
             return text
+        except RecursionError:  # too deep to be looked through, so nothing of it is shown
+            return json.dumps(mask)
 
     def mask_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
@@ -55,6 +52,7 @@ def may_need_masking(payload: Column) -> Column:
 def mask_payload(payload: Column) -> Column:
     """Replace ``value`` beside a sensitive ``selection``, at any depth of the JSON text.
 
+    A payload nested too deep for the JSON reader (some ten thousand levels) is replaced as a whole.
     Nesting is unbounded, which no built-in expresses, so suspicious payloads go
     through one Arrow UDF; all others reach it as NULL and keep their text.
     """

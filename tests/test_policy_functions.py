@@ -67,3 +67,12 @@ def test_masks_escaped_words_and_leaves_the_rest(spark):
     assert "value" not in _masked(spark, {"selection": "password"})
     frame = spark.createDataFrame([("{broken password selection",), (None,)], "p string")
     assert [r[0] for r in frame.select(mask_payload(F.col("p"))).collect()] == ["{broken password selection", None]
+
+
+def test_masks_deep_payloads(spark):
+    def nested(depth):
+        return '{"a":' * depth + '{"selection":"password","value":"s3cret"}' + "}" * depth
+
+    frame = spark.createDataFrame([(nested(2000),), (nested(200_000),)], "p string")
+    deep, deeper = [r[0] for r in frame.select(mask_payload(F.col("p"))).collect()]
+    assert deep == nested(2000).replace('"s3cret"', '["***"]') and deeper == '["***"]'
