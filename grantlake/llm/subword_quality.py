@@ -97,8 +97,8 @@ class Model:
 
 
 def _counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs (row, bucket) with the share of the row's parts that they are."""
-    rows, buckets, shares = [], [], []
+    """Each row's buckets with the share of its parts that they are, and where each row begins and the last ends."""
+    sizes, buckets, shares = np.zeros(len(texts) + 1, np.int64), [], []
     for begin in range(0, len(texts), 64):
         part = pa.array(texts[begin : begin + 64], pa.string())
         word, bucket, which, row, again = parsed(part)
@@ -113,19 +113,25 @@ def _counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         key, back = np.unique(key, return_inverse=True)
         weight = np.bincount(back, weight, minlength=len(key))
         own = key // BUCKETS
-        rows.append(own + begin)
-        buckets.append(key % BUCKETS)
+        sizes[begin + 1 : begin + 1 + len(part)] = np.bincount(own, minlength=len(part))
+        buckets.append((key % BUCKETS).astype(np.int32))
         shares.append((weight / np.bincount(own, weight, minlength=len(part))[own]).astype(np.float32))
-    return np.concatenate(rows), np.concatenate(buckets), np.concatenate(shares)
+    return np.cumsum(sizes), np.concatenate(buckets), np.concatenate(shares)
 
 
 def fitted(texts: list[str], labels: np.ndarray, odds: float, seed: int = 7) -> Model:
     """Vectors and layer from the sample, classes weighted alike; ``odds`` puts the bias right."""
     if not len(labels) or labels.min() == labels.max():
         return Model(np.zeros(BUCKETS, np.float32), odds)
-    row, bucket, share = _counts(texts)
-    used, col = np.unique(bucket, return_inverse=True)
-    cut = np.searchsorted(row, np.arange(len(texts) + 1))
+    cut, col, share = _counts(texts)
+    # From here on buckets are numbered among those in use; eight bytes for each bucket of a row is all that is held.
+    number = np.zeros(BUCKETS, np.int32)
+    for begin in range(0, len(col), BUCKETS):
+        number[col[begin : begin + BUCKETS]] = 1
+    used = np.flatnonzero(number)
+    number[used] = np.arange(len(used))
+    for begin in range(0, len(col), BUCKETS):
+        col[begin : begin + BUCKETS] = number[col[begin : begin + BUCKETS]]
     random = np.random.default_rng(seed)
     vectors = random.uniform(-1 / WIDTH, 1 / WIDTH, (len(used), WIDTH)).astype(np.float32)
     layer, bias = np.zeros((WIDTH, 2), np.float32), np.zeros(2, np.float32)
