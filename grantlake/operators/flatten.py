@@ -131,8 +131,11 @@ def _text(value: Column) -> Column:
 
 
 def _number(value: Column, kind: str) -> Column:
-    # By way of a decimal, so that 5.0 reads as 5.
-    whole = value.try_cast("decimal(38,6)").try_cast("bigint")
+    """A whole number, 5.0 being 5; with a fraction (to six places) it doesn't fit and the row is rejected, never cut.
+
+    The value stands here once, as each further mention would double in every later projection.
+    """
+    whole = F.regexp_extract(value.try_cast("decimal(38,6)").cast("string"), r"^(-?\d+)\.0+$", 1).try_cast("bigint")
     return whole.try_cast("int") if kind == ent.INTEGER else whole
 
 

@@ -14,8 +14,15 @@ def is_object(json: Column) -> Column:
     return json.rlike(r"^\s*\{")
 
 
+def _opened(json: Column) -> Column:
+    """The JSON inside a payload that is itself a JSON text of JSON; any other payload as it is."""
+    inner = F.get(F.from_json(F.concat(F.lit("["), json, F.lit("]")), "array<string>"), F.lit(0))
+    return F.when(json.rlike(r'^\s*"'), inner).otherwise(json)
+
+
 def elements(json: Column) -> Column:
-    """The elements of a JSON list, or the one JSON object, as an array of JSON texts."""
+    """The elements of a JSON list, or the one JSON object, as an array of JSON texts; a text of either is read first."""
+    json = _opened(json)
     return (
         F.when(is_list(json), F.from_json(json, "array<string>"))
         .when(is_object(json), F.array(json))

@@ -167,12 +167,20 @@ def test_flags_and_numbers(spark):
         ({"id": "a", "agManaged": True, "createdOn": 5.0},),
         ({"id": "b", "agManaged": "true", "createdOn": "12"},),
         ({"id": "c", "createdOn": "soon"},),
+        ({"id": "d", "createdOn": 1735689600000.9},),
+        ({"id": "e", "createdOn": 1735689600000},),
     )
     assert [(r["ag_managed"], r["created_on"], r["_bad"]) for r in got] == [
-        ("True", 5, ""), ("true", 12, ""), ("", None, "created_on")
+        ("True", 5, ""), ("true", 12, ""), ("", None, "created_on"), ("", None, "created_on"), ("", 1735689600000, "")
     ]
 
 
+def test_assignments_inside_json_text(spark):
+    listed = [{"id": "a", "targetIdentityId": "t"}, {"id": "b"}]
+    got = rows(spark, "PERMISSION_ASSIGNMENT", (json.dumps(listed), "CREATE", "2.0"), (json.dumps({"id": "c"}), "CREATE", "2.0"))
+    assert [r["assignment_id"] for r in got] == ["a", "b", "c"]
+
+
 def test_resource_tenant_and_ownership_id(spark):
     got = rows(spark, "RESOURCE", ({"id": "a", "tenancyId": "own"},), ({"id": "b"},))
     assert [r["tenancy_id"] for r in got] == ["own", "T"]

@@ -3,6 +3,7 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from grantlake.entities import AUDIT, ENTITIES
 from grantlake.plans.jobs import run
@@ -88,10 +89,12 @@ def test_small_batches_equal_one_batch(spark, tmp_path):
 def test_files_to_history_and_unusable_rows(spark, tmp_path):
     feed = Feed(tmp_path)
     feed.file("a.jsonl", lines(header("ROLE"), {"id": "a"}, {"id": "a"}, {"id": "b", "createdOn": "x"}) + "\n{broken")
+    feed.file("undated.jsonl", lines({**header("ROLE"), "eventTime": None}, {"id": "undated"}))
     feed.run(spark, "file_to_ts")
-    assert HistoryTable(spark, str(tmp_path / "tables"), ROLE).read().count() == 2
+    kept = HistoryTable(spark, str(tmp_path / "tables"), ROLE).read().select("id", F.col("event_timestamp").isNull().alias("undated"))
+    assert sorted(map(tuple, kept.collect())) == [("a", False), ("a", False), ("undated", True)]
     report = feed.reports[-1]
-    assert (report.rows, report.rejected, report.malformed) == ({"ROLE": 2}, {"ROLE": 1}, 1)
+    assert (report.rows, report.rejected, report.malformed) == ({"ROLE": 3}, {"ROLE": 1}, 1)
     assert report.reasons == {"ROLE": [("invalid number in column created_on", 1)]}
 
 

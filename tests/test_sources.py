@@ -98,6 +98,13 @@ def test_messages(spark):
     assert got[0]["event_timestamp"] == dt.datetime(2025, 1, 1, 0, 0, 0, 123456)
 
 
+def test_payload_that_is_json_text(spark):
+    twice = _message({"headers": header("ROLE"), "data": json.dumps(json.dumps([{"id": "a"}, {"id": "b"}]))})
+    frame = spark.createDataFrame([(0, twice), (1, _message({"headers": header("ROLE"), "data": json.dumps("no payload")}))], "pos int, value string")
+    events = message_events(decode_messages(frame), ["pos"]).select(F.get_json_object("raw", "$.id")).collect()
+    assert sorted(r[0] for r in events) == ["a", "b"]
+
+
 def test_single_layer(spark):
     frame = spark.createDataFrame([(0, _message({"headers": header("ROLE"), "data": "{}"}, 1))], "pos int, value string")
     assert decode_messages(frame, layers=1).first()["data"] == "{}"
