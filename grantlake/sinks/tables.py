@@ -190,6 +190,29 @@ class HistoryTable:
         return self.spark.read.schema(schema).parquet(self.path).drop("load_id")
 
 
+class RejectTable:
+    """Input that no table took: skipped events and rejected rows of every load, with the reason.
+
+    ``content`` is the event's text, or the row as JSON.
+    """
+
+    SCHEMA = "load string, entity string, reason string, content string"
+
+    def __init__(self, spark: SparkSession, root: str) -> None:
+        self.spark, self.path = spark, f"{root.rstrip('/')}/REJECTS"
+        self._files = VersionLog(spark, self.path)
+
+    def put(self, rows: DataFrame, load: str, part: str) -> None:
+        """Keep (entity, reason, content) rows of a part of a load; the same part again replaces its own rows only."""
+        rows.select("entity", "reason", "content").write.mode("overwrite").parquet(f"{self.path}/load={load}/part={part}")
+
+    def read(self) -> DataFrame:
+        if not self._files.folders(self.path):
+            return self.spark.createDataFrame([], self.SCHEMA)
+        rows = self.spark.read.schema(f"{self.SCHEMA}, part string").parquet(self.path)
+        return rows.select("load", "entity", "reason", "content")
+
+
 def create_tables(spark: SparkSession, root: str, history: bool = True, recreate: bool = False) -> None:
     """Create what is missing; ``recreate`` drops first, ``history`` also makes the append-only tables."""
     for entity in ENTITIES.values():

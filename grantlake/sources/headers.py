@@ -75,11 +75,29 @@ def has_routing_header(df: DataFrame) -> DataFrame:
     return df.filter(F.col("message_type").isNotNull() & F.col("operation").isNotNull())
 
 
+#: What a load says of the events it leaves out.
+OTHER_JOB = "type of another job"
+UNKNOWN_TYPE = "unknown type"
+UNKNOWN_OPERATION = "unsupported operation"
+UNKNOWN_VERSION = "unsupported version"
+
+
+def skip_reason(audit: bool = False) -> Column:
+    """Why the load cannot handle an event, by its header alone, else NULL."""
+    wanted, other = (audit_type(), known_type()) if audit else (known_type(), audit_type())
+    operations = ("CREATE",) if audit else OPERATIONS
+    operation = F.coalesce(F.col("operation").isin(*operations), F.lit(False))
+    return (
+        F.when(other, OTHER_JOB)
+        .when(~F.coalesce(wanted, F.lit(False)), UNKNOWN_TYPE)
+        .when(~operation, UNKNOWN_OPERATION)
+        .when(~supported_version(), UNKNOWN_VERSION)
+    )
+
+
 def supported_events(df: DataFrame, audit: bool = False) -> DataFrame:
     """Events the load can handle: known type, known operation, supported version."""
-    wanted = audit_type() if audit else known_type()
-    operations = ("CREATE",) if audit else OPERATIONS
-    return df.filter(wanted & F.col("operation").isin(*operations) & supported_version())
+    return df.filter(skip_reason(audit).isNull())
 
 
 def day0_label() -> Column:

@@ -1,15 +1,17 @@
 import base64
 import json
 import os
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from grantlake.entities import AUDIT, ENTITIES
 from grantlake.plans.jobs import run
-from grantlake.sinks.tables import HistoryTable, StateTable
+from grantlake.plans.load import load_state
+from grantlake.sinks.tables import HistoryTable, RejectTable, StateTable
 from grantlake.streaming.feeds import FeedConfig
-from tests.events import header, lines
+from tests.events import decoded, header, lines
 
 ROLE = ENTITIES["ROLE"]
 
@@ -96,6 +98,30 @@ def test_files_to_history_and_unusable_rows(spark, tmp_path):
     report = feed.reports[-1]
     assert (report.rows, report.rejected, report.malformed) == ({"ROLE": 3}, {"ROLE": 1}, 1)
     assert report.reasons == {"ROLE": [("invalid number in column created_on", 1)]}
+    kept = RejectTable(spark, str(tmp_path / "tables")).read().select("load", "entity", "reason", "content").collect()
+    assert sorted((r["load"], r["entity"], r["reason"]) for r in kept) == [
+        ("history-file-0", "ROLE", "invalid number in column created_on"), ("history-file-0", "ROLE", "no JSON object")
+    ]
+    assert json.loads(next(r["content"] for r in kept if "number" in r["reason"]))["id"] == "b"
+
+
+def test_every_event_is_loaded_rejected_or_skipped(spark, tmp_path):
+    role = {"id": "a"}
+    events = decoded(
+        spark, ("ROLE", role), ("ROLE", {}, "CREATE"), ("ROLE", "[1]"), ("NOBODY", role), ("ROLE", role, "MOVE"),
+        ("ROLE", role, "CREATE", "9.0"), ("AUDIT_EVENTS", role), ("ROLE", {"id": "b", "createdOn": 1.5}),
+    )
+    for _ in range(2):
+        report = load_state(spark, events, str(tmp_path), "manual", 7, buckets=2)
+    assert report.skipped == {
+        "no JSON object": 1, "unknown type": 1, "unsupported operation": 1, "unsupported version": 1, "type of another job": 1
+    }
+    loaded, rejected = sum(report.rows.values()), sum(report.rejected.values())
+    assert loaded + rejected + sum(report.skipped.values()) == events.count()
+    kept = RejectTable(spark, str(tmp_path)).read()
+    assert kept.count() == rejected + 4
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    assert not [*shared.glob("rows-*"), *shared.glob("events-*")]
 
 
 def test_messages_and_audit(spark, tmp_path):
