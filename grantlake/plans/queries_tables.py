@@ -16,7 +16,7 @@ from grantlake.plans.queries_sources import message_frame, write_feed
 from grantlake.plans.queries_state import resource_changes
 from grantlake.plans.registry import OPERATION_SQL, feed, json_of, plain_time, query, spread_table, table, text
 from grantlake.session import scratch_path
-from grantlake.sinks.tables import HistoryTable, StateTable
+from grantlake.sinks.tables import HistoryTable, RejectTable, StateTable
 from grantlake.streaming.feeds import FeedConfig, audit_stream, stream_to_history, stream_to_state
 
 # -- snapshots ---------------------------------------------------------------------
@@ -455,3 +455,64 @@ def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         for target, report in (("state", state), ("history", history))
     ]
     return spark.createDataFrame(rows, "entity string, target string, n_events long, n_rows long")
+
+
+# Every kind of input a load leaves out: types, operations and versions it does not know, numbers with a fraction.
+_REFUSED_SQL = """case event_type when 'view' then 'unknown type' when 'error' then 'unsupported operation'
+                  when 'click' then 'unsupported version'
+                  else case when event_id % 2 = 1 then 'invalid number in column created_on' end end"""
+
+
+def _mixed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events")
+    number = F.when(F.col("event_id") % 2 == 1, F.concat(text("event_id"), F.lit(".5"))).otherwise(text("event_id"))
+    decoded = feed(
+        events.withColumn("_number", number), "ROLE", F.struct("event_type", json_of(id=text("event_id"), createdOn="_number").alias("text")),
+        "ts", "event_id",
+    )
+    kind = F.col("raw.event_type")
+    return decoded.withColumns({
+        "message_type": F.when(kind == "view", "NOBODY").otherwise(F.col("message_type")),
+        "operation": F.when(kind == "error", "MOVE").otherwise(F.col("operation")),
+        "event_type_version": F.when(kind == "click", "9.0").otherwise(F.col("event_type_version")),
+        "raw": F.col("raw.text"),
+    })
+
+
+@query(
+    "load_account",
+    f"""select coalesce({_REFUSED_SQL}, 'loaded') as outcome, count(*) as n_events, (select count(*) from events) as n_input
+        from events group by 1""",
+)
+def load_account(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OBS-1, SNK-3: each event is loaded, rejected or skipped; the report's counts add up to the input."""
+    report = load_history(spark, _mixed_events(spark, sf_dir), scratch_path(spark, "account"), "account")
+    refused = [(reason, n) for entity in report.reasons.values() for reason, n in entity]
+    counts = [*report.skipped.items(), *refused, ("loaded", sum(report.rows.values()))]
+    total = spark.createDataFrame(counts, "outcome string, n_events long")
+    return total.withColumn("n_input", F.lit(table(spark, sf_dir, "events").count()))
+
+
+@query(
+    "rejects_kept",
+    f"""select case when event_type = 'view' then 'NOBODY' else 'ROLE' end as entity, {_REFUSED_SQL} as reason,
+               cast(event_id as varchar) as id from events where ({_REFUSED_SQL}) is not null""",
+)
+def rejects_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-3: rejected rows and skipped events stay readable with their reason, once after a replay too."""
+    events, root = _mixed_events(spark, sf_dir), scratch_path(spark, "rejects")
+    for _ in range(2):
+        load_history(spark, events, root, "same")
+    return RejectTable(spark, root).read().select("entity", "reason", F.get_json_object("content", "$.id").alias("id"))
+
+
+@query(
+    "history_undated",
+    """select cast(event_id as varchar) as id, case when event_type <> 'view' then ts end as event_timestamp from events""",
+)
+def history_undated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-1: history keeps rows without an event time."""
+    undated = table(spark, sf_dir, "events").withColumn("ts", F.when(F.col("event_type") != "view", F.col("ts")))
+    root = scratch_path(spark, "undated")
+    load_history(spark, feed(undated, "ROLE", json_of(id=text("event_id")), "ts", "event_id"), root, "undated")
+    return HistoryTable(spark, root, ENTITIES["ROLE"]).read().select("id", plain_time("event_timestamp").alias("event_timestamp"))
