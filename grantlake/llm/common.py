@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from grantlake.session import scratch_path
+from grantlake.sinks.versions import VersionLog
 
 #: Bytes of text handled at once in a task; a longer text is handled alone.
 SLICE_BYTES = 1 << 19
@@ -34,10 +35,11 @@ def staged(df: DataFrame, name: str, *by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def released(df: DataFrame) -> None:
-    """Empties the files of a staged table that nothing reads any more."""
-    for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        df.sparkSession.range(0).coalesce(1).write.mode("overwrite").parquet(path)
+def released(*frames: DataFrame) -> None:
+    """Deletes the files of staged tables that nothing reads any more."""
+    for df in frames:
+        for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            VersionLog(df.sparkSession, path).drop()
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -136,10 +136,12 @@ def components(edges: DataFrame) -> DataFrame:
         least = c.staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u > v").distinct()
         large = c.staged(large, "large")
+        c.released(least)
         least = c.staged(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        edges = c.staged(small.filter("u > v").distinct(), "edges")
+        before, edges = edges, c.staged(small.filter("u > v").distinct(), "edges")
+        c.released(before, large, least)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).head()
         if now == seen:
             return edges.select(F.col("u").alias("v"), F.col("v").alias("component")).unionByName(
@@ -153,7 +155,9 @@ def _open(shared: DataFrame, joined: DataFrame) -> DataFrame:
     label = shared.join(joined.withColumnRenamed("v", "rep"), "rep", "left")
     label = c.staged(label.select("bucket", "a", "an", "rep", "n", F.coalesce("component", "rep").alias("component")), "labels")
     mixed = label.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    return c.staged(label.join(mixed.select("bucket"), "bucket"), "open")
+    mixed = c.staged(label.join(mixed.select("bucket"), "bucket"), "open")
+    c.released(label)
+    return mixed
 
 
 def _among_rare(classes: DataFrame, tested: DataFrame) -> DataFrame:
