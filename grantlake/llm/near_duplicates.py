@@ -206,9 +206,20 @@ def _among_rare(classes: DataFrame, tested: DataFrame) -> DataFrame:
     links = confirmed(c.staged(pairs, "pairs"), classes.select("rep", "shingles"))
 
     # A larger group is cut into blocks; each pair of blocks meets in one place, where only links leave the task.
-    blocks = F.ceil(F.col("size") / BLOCK).cast("long")
-    own = F.pmod(F.xxhash64("rep"), blocks)
-    many = rows.filter(F.col("size") > SMALL).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    # Blocks of the group's main component come first and never meet each other, as all in them are linked already.
+    many = rows.filter(F.col("size") > SMALL)
+    main = many.groupBy("shingle", "component").count().groupBy("shingle")
+    main = main.agg(F.max_by("component", F.struct("count", "component")).alias("main"), F.max("count").alias("mains"))
+    many = many.join(main, "shingle").withColumns({
+        "inside": F.col("component") == F.col("main"),
+        "begin": F.ceil(F.col("mains") / BLOCK).cast("long"),
+        "rest": F.ceil((F.col("size") - F.col("mains")) / BLOCK).cast("long"),
+    })
+    spread = F.xxhash64("rep")
+    own = F.when(F.col("inside"), F.pmod(spread, F.col("begin"))).otherwise(F.col("begin") + F.pmod(spread, F.col("rest")))
+    first = F.when(F.col("inside"), F.col("begin")).otherwise(F.lit(0).cast("long"))
+    others = F.sequence(first, F.col("begin") + F.col("rest") - 1)
+    many = many.withColumn("own", own).withColumn("other", F.explode(others))
     many = many.select("shingle", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "rep", "component")
     many = many.join(classes.select("rep", "shingles"), "rep")
     place = ["shingle", "i", "j"]
