@@ -2,7 +2,8 @@
 
 Exact rules find e-mail addresses, IP addresses, card and phone numbers. These are the seeds: the two words before a
 seed are a lexical pattern of its kind. All occurrences of patterns with several different seeds are then counted in
-the whole corpus, with the tokens that follow. Spark scores the graph of patterns and instances in rounds: a
+the whole corpus, with what follows: the seed of the pattern's kind that begins there, else a token, with the digit groups
+that continue it for cards and phones. Spark scores the graph of patterns and instances in rounds: a
 pattern is as reliable as the average of what follows it, an instance as the best of its patterns; seeds stay at one,
 and ordinary words at zero. Identifiers after reliable patterns are found although no rule knows their form.
 
@@ -38,6 +39,10 @@ _DIGIT = re.compile(r"[0-9]")
 _DIGITS = re.compile(r"[^0-9]+")
 #: What may follow a reliable pattern: a token with a digit or an at sign, without punctuation around it.
 _TOKEN = re.compile(r"[\"'(<\[]*([^\s\"'(<\[][^\s]*?)[\"')>\],.;:!?]*")
+_LEAD = re.compile(r"[\"'(<\[]*")
+#: Digits up to the end of a word, and the most digits that several of them have together.
+_GROUP = re.compile(r"\+?(?:\([0-9]++\)|[0-9]++)(?:[./-]?+(?:\([0-9]++\)|[0-9]++))*+(?=[\"')>\],.;:!?]*+(?:[\x20\x09-\x0d]|\Z))")
+_MOST = {"card": 19, "phone": 15}
 
 
 def luhn(digits: str) -> bool:
@@ -66,6 +71,34 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+def _continued(text: str, begin: int, most: int, spans: list[tuple[str, int, int]]) -> tuple[int, int] | None:
+    """Begin and end of the digit groups at ``begin``, one space between them, as far as they meet no span of a rule."""
+    m = (text[begin - 1 : begin] == "(" and _GROUP.match(text, begin - 1)) or _GROUP.match(text, begin)
+    if not m:
+        return None
+    start, end, digits = m.start(), m.end(), len(_DIGITS.sub("", m[0]))
+    while text[end : end + 1] == " " and (m := _GROUP.match(text, end + 1)) and m[0][0] != "+":
+        digits += len(_DIGITS.sub("", m[0]))
+        if digits > most or any(b < m.end() and end < e for _, b, e in spans):
+            break
+        end = m.end()
+    return start, end
+
+
+def _follower(text: str, begin: int, end: int, kind: str, spans: list[tuple[str, int, int]]) -> tuple[int, int] | None:
+    """Begin and end of the identifier of a kind that starts with the word from ``begin`` to ``end``; ``spans``: the rules' ones."""
+    first = _LEAD.match(text, begin, end).end()
+    ends = {k: e for k, b, e in spans if b == first}
+    if ends:
+        # What the rules of another kind find is no seed of this one.
+        return first, ends.get(kind) or max(ends.values())
+    m = _TOKEN.fullmatch(text, begin, end)
+    if not m:
+        return None
+    span = (kind in _MOST and _continued(text, first, _MOST[kind], spans)) or m.span(1)
+    return span if span[1] - span[0] >= 5 else None
+
+
 class _Words:
     """Words of a slice of texts, the hash of the two before each, and offsets in characters."""
 
@@ -95,15 +128,15 @@ def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for i, kind, begin, end in found:
             a, b = words.rows[i], words.rows[i + 1]
-            k = a + np.searchsorted(words.char_begin[a:b], begin)
-            if k < b and words.char_begin[k] == begin and words.known[k]:
+            k = a + np.searchsorted(words.char_begin[a:b], begin, "right") - 1
+            if k >= a and words.known[k] and _LEAD.fullmatch(texts[i], words.char_begin[k], begin):
                 rows.append((kind, int(words.before[k].view(np.int64)), texts[i][begin:end].lower()))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows, strict=True)], ["kind", "pattern", "instance"])
 
 
-def _followers(patterns: np.ndarray):
-    """For a sorted array of patterns: how often each occurs, and the identifiers after it."""
+def _followers(patterns: np.ndarray, kinds: np.ndarray):
+    """For a sorted array of patterns and the kinds (bits) of each: how often each occurs, and the identifiers after it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(len(patterns), np.int64)
@@ -118,27 +151,29 @@ def _followers(patterns: np.ndarray):
             for k in hit:
                 i = int(words.row[k])
                 if i not in texts:
-                    texts[i] = batch.column("text")[i].as_py()
-                token = texts[i][words.char_begin[k] : words.char_end[k]]
+                    texts[i] = (text := batch.column("text")[i].as_py()), base_spans(text)
+                text, spans = texts[i]
+                begin, end = int(words.char_begin[k]), int(words.char_end[k])
+                token = text[begin:end]
                 if "@" not in token and not _DIGIT.search(token):
                     continue
-                m = _TOKEN.fullmatch(token)
-                if m and len(m[1]) >= 5:
-                    begin = int(words.char_begin[k]) + m.start(1)
-                    rows.append((int(patterns[at[k]]), m[1].lower(), batch.column("doc_id")[i].as_py(), batch.column("text_hash")[i].as_py(), begin, begin + len(m[1]), 1))
+                for bit, kind in enumerate(KINDS):
+                    if kinds[at[k]] >> bit & 1 and (span := _follower(text, begin, end, kind, spans)):
+                        whose = batch.column("doc_id")[i].as_py(), batch.column("text_hash")[i].as_py()
+                        rows.append((int(patterns[at[k]]), kind, text[slice(*span)].lower(), *whose, *span, 1))
             if rows:
                 columns = [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), _FOLLOWER_TYPES, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, _FOLLOWER_NAMES)
         some = np.flatnonzero(seen)
         if len(some):
-            nulls = [pa.nulls(len(some), t) for t in _FOLLOWER_TYPES[1:6]]
+            nulls = [pa.nulls(len(some), t) for t in _FOLLOWER_TYPES[1:7]]
             yield pa.RecordBatch.from_arrays([pa.array(patterns[some]), *nulls, pa.array(seen[some])], _FOLLOWER_NAMES)
 
     return run
 
 
-_FOLLOWER_NAMES = ["pattern", "instance", "doc_id", "text_hash", "begin", "end", "n"]
-_FOLLOWER_TYPES = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+_FOLLOWER_NAMES = ["pattern", "kind", "instance", "doc_id", "text_hash", "begin", "end", "n"]
+_FOLLOWER_TYPES = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
 
 
 def discovered(documents: DataFrame) -> DataFrame:
@@ -151,18 +186,22 @@ def discovered(documents: DataFrame) -> DataFrame:
     empty = spark.createDataFrame([], "doc_id long, text_hash long, kind string, begin long, end long")
     followers = None
     for k in range(passes):
-        part = patterns.filter(F.pmod(F.xxhash64("pattern"), F.lit(passes)) == k).select("pattern").distinct()
-        known = np.sort(np.array([r[0] for r in part.toLocalIterator()], np.int64))
+        part = patterns.filter(F.pmod(F.xxhash64("pattern"), F.lit(passes)) == k)
+        part = part.groupBy("pattern").agg(F.sum(sum(F.when(F.col("kind") == x, 1 << bit).otherwise(0) for bit, x in enumerate(KINDS))))
+        given = [tuple(r) for r in part.toLocalIterator()]
+        known, bits = np.array([r[0] for r in given], np.int64), np.array([r[1] for r in given], np.uint8)
+        order = np.argsort(known)
+        known, bits = known[order], bits[order]
         if not len(known):
             continue
-        found = documents.mapInArrow(_followers(known), "pattern long, instance string, doc_id long, text_hash long, begin long, end long, n long")
+        found = documents.mapInArrow(_followers(known, bits), "pattern long, kind string, instance string, doc_id long, text_hash long, begin long, end long, n long")
         followers = found if followers is None else followers.unionByName(found)
     if followers is None:
         return empty
     followers = c.staged(followers, "followers")
     total = followers.filter("instance is null").groupBy("pattern").agg(F.sum("n").alias("total"))
-    edges = followers.filter("instance is not null").groupBy("pattern", "instance").agg(F.sum("n").alias("n"))
-    edges = patterns.join(edges, "pattern").join(seeds.select("kind", "instance", F.lit(1.0).alias("seed")).distinct(), ["kind", "instance"], "left")
+    edges = followers.filter("instance is not null").groupBy("kind", "pattern", "instance").agg(F.sum("n").alias("n"))
+    edges = edges.join(seeds.select("kind", "instance", F.lit(1.0).alias("seed")).distinct(), ["kind", "instance"], "left")
     edges = c.staged(edges.withColumn("seed", F.coalesce("seed", F.lit(0.0))), "edges")
     total = c.staged(patterns.join(total, "pattern"), "totals")
     belief = edges.select("kind", "pattern", "instance", "n", F.col("seed").alias("belief"), "seed")
@@ -172,7 +211,7 @@ def discovered(documents: DataFrame) -> DataFrame:
         best = edges.join(score, ["kind", "pattern"]).groupBy("kind", "instance").agg(F.max("score").alias("best"))
         belief = c.staged(edges.join(best, ["kind", "instance"]).withColumn("belief", F.greatest("seed", "best")), "beliefs").select("kind", "pattern", "instance", "n", "belief", "seed")
     reliable = score.filter(F.col("score") >= RELIABLE).select("kind", "pattern")
-    spans = followers.filter("instance is not null").join(reliable, "pattern")
+    spans = followers.filter("instance is not null").join(reliable, ["kind", "pattern"])
     return spans.select("doc_id", "text_hash", F.concat(F.lit("context_"), "kind").alias("kind"), "begin", "end").distinct()
 
 

@@ -112,6 +112,29 @@ def test_pii(spark, documents, nothing):
     assert [s.kind for s in spans[90]] == ["context_email"] and spans[91] == []
 
 
+def test_pii_of_several_tokens(spark):
+    card = "4980160719944918"
+    spaced = " ".join(card[k : k + 4] for k in (0, 4, 8, 12))
+    texts = {i: f"please call mobile +1 (476) 555-54{i:02} today" for i in range(8)}
+    texts |= {20 + i: f"charged to visa {spaced[:-4]}{n} thanks" for i, n in enumerate(n for n in range(1000, 9999) if pii_patterns.luhn(card[:12] + str(n))) if i < 8}
+    texts |= {40 + i: f"kindly write to <user{i}@mail.example.com>, soon" for i in range(8)}
+    found = {
+        90: ("please call mobile 476 555 5473 twice", "context_phone", "476 555 5473"),
+        91: ("please call mobile (476) 555-5473, twice", "context_phone", "(476) 555-5473"),
+        92: ("charged to visa 4980 1607 1994 4910.", "context_card", "4980 1607 1994 4910"),
+        93: ("kindly write to <user90(at)mail>, soon", "context_email", "user90(at)mail"),
+        94: ("please call mobile 55512 10.2.3.4 twice", "context_phone", "55512"),
+        95: ("please call mobile x55512 3 times", "context_phone", "x55512"),
+    }
+    texts |= {k: t for k, (t, _, _) in found.items()} | {99: "the sum was 476 555 5473 in all"}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    spans = {r.doc_id: [(s.kind, texts[r.doc_id][s.begin : s.end]) for s in r.spans if s.kind.startswith("context_")] for r in pii_patterns.spans_of(frame).collect()}
+    assert {k: spans[k] for k in found} == {k: [(kind, value)] for k, (_, kind, value) in found.items()}
+    assert not any(s for k, s in spans.items() if k not in found)
+    masked = {r.doc_id: r.text for r in pii_patterns.masked(frame).collect()}
+    assert masked[90] == "please call mobile <phone> twice" and masked[92] == "charged to visa <card>."
+
+
 def test_secrets(spark, documents, nothing):
     got = {r.doc_id: [(s.kind, s.begin, s.end) for s in r.spans] for r in secret_models.spans_of(documents).collect()}
     assert [k for k, _, _ in got[6]] == ["assign", "hex", "access"]
