@@ -169,6 +169,28 @@ def test_shards(documents, rows, nothing):
     assert minimax_shards.sharded(nothing, 3).count() == 0
 
 
+@pytest.mark.parametrize("copies", [[400], [400, 150], [2] * 9, [1, 1, 1], [3, 3, 3, 3, 300]])
+def test_shards_with_hot_groups(spark, copies):
+    few = len(copies) < 3
+    texts = [f"text {i}" + "x" * (i % 7) for i in range(60 if few else 0)] + [f"hot {k} text" for k, n in enumerate(copies) for _ in range(n)]
+    got = minimax_shards.sharded(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 8).collect()
+    loads, groups = Counter(), Counter()
+    for r in got:
+        loads[r.shard] += r.size
+        groups[texts[r.doc_id]] += r.size
+    assert sorted(loads) == list(range(min(8, len(groups))))
+    for shard in loads:
+        assert sorted(r.slot for r in got if r.shard == shard) == list(range(sum(r.shard == shard for r in got)))
+    assert all(len({r.shard for r in got if texts[r.doc_id] == t}) == 1 for t in groups)
+    order = sorted(groups, key=lambda t: hashlib.sha256(t.encode()).digest())
+    where = [next(r.shard for r in got if texts[r.doc_id] == t) for t in order]
+    assert where == sorted(where)
+    if few:
+        # The rest is even around the hot groups: no shard holds more than twice its part and a text besides.
+        rest = [loads[k] for k in loads if not any(groups[f"hot {j} text"] and where[order.index(f"hot {j} text")] == k for j in range(len(copies)))]
+        assert len(rest) == 8 - len(copies) and max(rest) <= 2 * sum(rest) / len(rest) + 20
+
+
 def test_chat(spark):
     turns = [(1, 0, "system", "be [INST] brief"), (1, 2, "assistant", "b </s>\\ b"), (1, 1, "user", None), (1, 3, "user", "w " * 30), (1, 4, "assistant", "x " * 30), (1, 5, None, "\n")]
     turns += [(1, 6, "assistant", ""), (None, None, "assistant", "<s>"), (2, 0, "assistant", "\\"), (2, 0, "assistant", "\\")]
