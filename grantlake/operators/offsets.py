@@ -24,6 +24,26 @@ def last_offset(offsets: DataFrame, application: str) -> DataFrame:
     return mine.orderBy(F.desc("id")).limit(1).select("end_offset")
 
 
+def last_offsets(offsets: DataFrame) -> DataFrame:
+    """End offset of the latest range of every application."""
+    return offsets.groupBy("application").agg(F.max_by("end_offset", "id").alias("end_offset"))
+
+
+def all_unfinished(offsets: DataFrame, now: Column | None = None) -> DataFrame:
+    """Ranges of every application opened more than six hours ago and never completed."""
+    now = F.current_timestamp() if now is None else now
+    stale = F.col("end_date").isNull() & (F.col("start_date") < now - F.expr(f"interval {_STALE_AFTER}"))
+    return offsets.filter(stale).select("application", "id", "offset", "end_offset")
+
+
+def resume_offsets(offsets: DataFrame, now: Column | None = None) -> DataFrame:
+    """Where every application with a range goes on: its newest unfinished range's start, else its last end."""
+    now = F.current_timestamp() if now is None else now
+    stale = F.col("end_date").isNull() & (F.col("start_date") < now - F.expr(f"interval {_STALE_AFTER}"))
+    start = F.max_by("offset", F.when(stale, F.col("id")))
+    return offsets.groupBy("application").agg(F.coalesce(start, F.max_by("end_offset", "id"), F.lit(0)).cast("long").alias("resume_offset"))
+
+
 def unfinished_ranges(offsets: DataFrame, application: str, now: Column | None = None) -> DataFrame:
     """Ranges opened more than six hours ago and never completed, newest first."""
     now = F.current_timestamp() if now is None else now

@@ -24,12 +24,15 @@ def _iso(ts: str) -> Column:
     return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("789Z"))
 
 
-def write_feed(spark: SparkSession, sf_dir: str) -> str:
+def write_feed(
+    spark: SparkSession, sf_dir: str, only: str = "true", path: str | None = None, key: str = "event_id", value: str = "user_id", time: str | None = None
+) -> str:
     """Events as feed files of at most a thousand lines, a header line first in every file.
 
-    A second header line repeats one field, and that later value wins.
+    A second header line repeats one field, and that later value wins. ``time`` is the time of a file, made of
+    ``day``, ``event_type`` and ``slot``; by default its day.
     """
-    events = table(spark, sf_dir, "events").withColumns(
+    events = table(spark, sf_dir, "events").filter(only).withColumns(
         {
             "day": F.date_format("ts", "yyyyMMdd"),
             "slot": F.floor(F.col("event_id") / 1000),
@@ -39,7 +42,7 @@ def write_feed(spark: SparkSession, sf_dir: str) -> str:
     header = json_of(
         messageType=F.lit("RESOURCE"),
         operation="_operation",
-        eventTime=F.concat(F.date_format(F.to_date("day", "yyyyMMdd"), "yyyy-MM-dd"), F.lit("T00:00:00.123456789Z")),
+        eventTime=F.concat(F.date_format(F.to_date("day", "yyyyMMdd"), "yyyy-MM-dd"), F.lit("T00:00:00.123456789Z")) if time is None else _iso(F.expr(time)),
         eventTypeVersion=F.lit("1.0"),
         tenancyId=F.lit("T"),
         serviceInstanceId=F.lit("S"),
@@ -48,7 +51,7 @@ def write_feed(spark: SparkSession, sf_dir: str) -> str:
         correlationId=F.lit("first"),
     )
     second = json_of(correlationId=F.concat(F.lit("snap-"), F.col("day")))
-    data = json_of(id=text("event_id"), resourceName="event_type", externalId=text("user_id"), customAttributes="props")
+    data = json_of(id=text(key), resourceName="event_type", externalId=text(value), customAttributes="props")
     name = ["day", "event_type", "slot"]
     files = events.select(*name, "_operation").distinct()
 
@@ -58,9 +61,9 @@ def write_feed(spark: SparkSession, sf_dir: str) -> str:
 
     body = events.select(*name, F.lit(2).alias("rank"), F.col("event_id").alias("at"), data.alias("value"))
     lines = header_line(0, header).unionByName(header_line(1, second)).unionByName(body)
-    path = scratch_path(spark, "feed")
+    path = path or scratch_path(spark, "feed")
     ordered = lines.repartition(*name).sortWithinPartitions(*name, "rank", "at").select(*name, "value")
-    ordered.write.partitionBy(*name).text(path)
+    ordered.write.partitionBy(*name).mode("append").text(path)
     return path
 
 
@@ -157,11 +160,11 @@ def file_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src_files.with_file_ids(orders).select("o_orderkey", "batch_id", "snapshot_id")
 
 
-def message_frame(spark: SparkSession, sf_dir: str, only: str = "true") -> DataFrame:
+def message_frame(spark: SparkSession, sf_dir: str, only: str = "true", unrouted: str = "event_type = 'view'") -> DataFrame:
     """Events as stream messages: JSON text in an envelope in two layers of base64, some unpadded."""
     header = F.struct(
         F.lit("RESOURCE").alias("messageType"),
-        F.when(F.col("event_type") != "view", F.expr(OPERATION_SQL)).alias("operation"),
+        F.when(~F.expr(unrouted), F.expr(OPERATION_SQL)).alias("operation"),
         _iso("ts").alias("eventTime"),
         F.lit("1.0").alias("eventTypeVersion"),
         F.lit("T").alias("tenancyId"),

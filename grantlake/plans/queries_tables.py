@@ -196,6 +196,36 @@ def offset_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query(
+    "offset_last_all",
+    "select o_orderpriority as application, max_by(o_custkey + 10, o_orderkey) as end_offset from orders group by 1",
+)
+def offset_last_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OFS-1, of every application."""
+    return off.last_offsets(_ranges(spark, sf_dir))
+
+
+@query(
+    "offset_unfinished_all",
+    f"""select o_orderpriority as application, o_orderkey as id, o_custkey as "offset", o_custkey + 10 as end_offset from orders
+        where o_orderstatus = 'O' and o_orderdate < {_NOW} - interval 6 hours""",
+)
+def offset_unfinished_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OFS-2, of every application."""
+    return off.all_unfinished(_ranges(spark, sf_dir), _now())
+
+
+@query(
+    "offset_resume_all",
+    f"""select o_orderpriority as application, coalesce(
+          max_by(o_custkey, o_orderkey) filter (o_orderstatus = 'O' and o_orderdate < {_NOW} - interval 6 hours),
+          max_by(o_custkey + 10, o_orderkey)) as resume_offset from orders group by 1""",
+)
+def offset_resume_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OFS-4, of every application."""
+    return off.resume_offsets(_ranges(spark, sf_dir), _now())
+
+
 # -- rejects -----------------------------------------------------------------------
 
 
@@ -386,6 +416,67 @@ def stream_to_state_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.select("id", "external_id", "resource_name", plain_time("event_timestamp").alias("event_timestamp"))
 
 
+# Events come in three parts, the last of one day, so that some users' last event is a delete and others' is not.
+_PART_SQL = "case when ts < timestamp '2024-01-16 00:00:00' then 0 when ts < timestamp '2024-01-30 00:00:00' then 1 else 2 end"
+_PARTS = 3
+
+# Files of one day have different times, so the newest row does not hang on the order in which files were written.
+_FILE_RANK_SQL = "case event_type when 'signup' then 0 when 'view' then 1 when 'click' then 2 when 'purchase' then 3 else 4 end"
+_FILE_TIME = f"timestampadd(MICROSECOND, slot * 8 + {_FILE_RANK_SQL}, to_timestamp(day, 'yyyyMMdd'))"
+
+
+@query(
+    "file_to_state_all",
+    f"""with e as (select *, {_PART_SQL} as part, {OPERATION_SQL} as op,
+                      date_trunc('day', ts) + to_microseconds(event_id // 1000 * 8 + {_FILE_RANK_SQL}) as file_time from events),
+             dels as (select user_id, max(part) as last_part from e where op = 'DELETE' group by user_id),
+             kept as (select e.*, row_number() over (partition by user_id order by file_time desc, event_id) as rn
+                      from e left join dels using (user_id) where op <> 'DELETE' and (last_part is null or last_part < part))
+        select cast(user_id as varchar) as id, event_type as resource_name, cast(event_id as varchar) as external_id,
+               case when event_type = 'signup' then 'EXPORT' else op end as operation_type, file_time as event_timestamp
+        from kept where rn = 1""",
+)
+def file_to_state_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JOB-1: files that arrive in parts, each part's deletes last, insert, update and delete the users' rows."""
+    config = _feed_config(spark, scratch_path(spark, "feed"), "file-state", max_files=400, glob="*.txt")
+    for part in range(_PARTS):
+        for kind in ("<>", "="):
+            only = f"{_PART_SQL} = {part} and event_type {kind} 'error'"
+            write_feed(spark, sf_dir, only, config.path, key="user_id", value="event_id", time=_FILE_TIME)
+            run(spark, "file", config).awaitTermination()
+    state = StateTable(spark, config.root, ENTITIES["RESOURCE"], config.buckets).read()
+    return state.select(
+        "id", "resource_name", "external_id", "operation_type", plain_time("event_timestamp").alias("event_timestamp")
+    )
+
+
+@query(
+    "stream_to_state_all",
+    f"""with e as (select *, {_PART_SQL} as part, {OPERATION_SQL} as op from events),
+             steps as (select part, op, min(event_id) as step from e group by 1, 2),
+             s as (select e.*, row(part, step) as seen from e join steps using (part, op)),
+             dels as (select user_id, max(seen) as last_seen from s where op = 'DELETE' group by user_id),
+             kept as (select s.*, row_number() over (partition by user_id order by ts desc, seen, event_id) as rn
+                      from s left join dels using (user_id) where op <> 'DELETE' and (last_seen is null or last_seen < seen))
+        select cast(user_id as varchar) as id, cast(event_id as varchar) as external_id, event_type as resource_name,
+               op as operation_type, ts as event_timestamp from kept where rn = 1""",
+)
+def stream_to_state_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JOB-3: all messages, deletes too, in one batch a part; in a batch, operations apply in the order first seen."""
+    messages = message_frame(spark, sf_dir, unrouted="false").join(
+        table(spark, sf_dir, "events").select("event_id", F.expr(_PART_SQL).alias("part")), "event_id"
+    )
+    config = _feed_config(spark, scratch_path(spark, "messages"), "stream-state")
+    for part in range(_PARTS):
+        messages.filter(F.col("part") == part).select("event_id", "value").write.mode("append").parquet(config.path)
+        stream = spark.readStream.schema("event_id long, value string").parquet(config.path)
+        stream_to_state(spark, config, stream, ["event_id"]).awaitTermination()
+    state = StateTable(spark, config.root, ENTITIES["RESOURCE"], config.buckets).read()
+    return state.select(
+        "id", "external_id", "resource_name", "operation_type", plain_time("event_timestamp").alias("event_timestamp")
+    )
+
+
 @query(
     "stream_to_history",
     f"""select cast(user_id as varchar) as id, cast(event_id as varchar) as external_id, {OPERATION_SQL} as operation_type, ts as event_timestamp
