@@ -104,13 +104,13 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """The rows of ``batches`` in order, in pieces of SLICE_BYTES of text; a longer text comes alone."""
+def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in order, in pieces of ``most`` bytes of text; a longer text comes alone."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
         begin = total = 0
         for i, size in enumerate(sizes):
-            if i > begin and total + size > SLICE_BYTES:
+            if i > begin and total + size > most:
                 yield batch.slice(begin, i - begin)
                 begin, total = i, 0
             total += int(size)
@@ -118,9 +118,13 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa
             yield batch.slice(begin)
 
 
-def byte_table(separators: bytes) -> np.ndarray:
-    """For each byte 0 if it separates words, else the byte with A-Z in lower case."""
-    out = np.frombuffer(bytes(range(256)).lower(), np.uint8).copy()
+def byte_table(separators: bytes, lower: bool = True) -> np.ndarray:
+    """For each byte 0 if it separates words, else the byte, with A-Z in lower case if ``lower``.
+
+    A NUL that is part of words is told apart from separators as 255, which UTF-8 never uses.
+    """
+    out = np.frombuffer(bytes(range(256)).lower() if lower else bytes(range(256)), np.uint8).copy()
+    out[0] = 255
     out[np.frombuffer(separators, np.uint8)] = 0
     return out
 
@@ -128,15 +132,27 @@ def byte_table(separators: bytes) -> np.ndarray:
 def word_spans(data: np.ndarray, offsets: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The bytes as ``classes`` has them, begin and end of each word, and how many words come before each row."""
     marks = classes[data]
-    inside = marks != 0
-    first = np.zeros(len(data) + 1, bool)
+    begins, ends = stretches(marks != 0, offsets)
+    return marks, begins, ends, np.searchsorted(begins, offsets)
+
+
+def stretches(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of each longest stretch of bytes that are ``inside`` one row."""
+    first = np.zeros(len(inside) + 1, bool)
     first[offsets] = True
     begins = inside.copy()
     begins[1:] &= ~inside[:-1] | first[1:-1]
     ends = inside.copy()
     ends[:-1] &= ~inside[1:] | first[1:-1]
-    begins, ends = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    return marks, begins, ends, np.searchsorted(begins, offsets)
+    return np.flatnonzero(begins), np.flatnonzero(ends) + 1
+
+
+def gathered(marks: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The spans of bytes as a text column."""
+    cut = np.zeros(len(begins) + 1, np.int64)
+    np.cumsum(ends - begins, out=cut[1:])
+    data = marks[np.repeat(begins - cut[:-1], ends - begins) + np.arange(cut[-1])]
+    return pa.Array.from_buffers(pa.large_string(), len(begins), [None, pa.py_buffer(cut), pa.py_buffer(data.astype(np.uint8))])
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -19,6 +19,7 @@ from grantlake.llm import (
     piece_merges,
     positional_index,
     secret_models,
+    spelling_variants,
     subword_quality,
     toxicity,
 )
@@ -138,3 +139,9 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("spans", lambda s: s["kind"] != "markov")
     counts = [_count(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")]
     return found.select("doc_id", *counts, F.sha2(_spelled(base), 256).alias("base_sha256"), _spelled(F.col("spans")).alias("spans"))
+
+
+@_query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling_variants.words_of(table(spark, sf_dir, "documents"), damage=31)
+    return spelling_variants.variants(words).select("word", "form", "root", "n", "n_near", "form_n")
