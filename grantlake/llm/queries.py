@@ -18,15 +18,18 @@ from grantlake.llm import (
     pii_patterns,
     piece_merges,
     positional_index,
+    ranked_search,
     secret_models,
     spelling_variants,
     subword_quality,
+    tokeniser_fertility,
     toxicity,
 )
 from grantlake.llm.common import table
 
-#: The vocabulary file of the tokenizer; a path of the driver.
+#: The vocabulary files of tokenizers; paths of the driver.
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -145,3 +148,45 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = spelling_variants.words_of(table(spark, sf_dir, "documents"), damage=31)
     return spelling_variants.variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def public_vocabularies() -> list[tokeniser_fertility.Vocabulary]:
+    return [
+        tokeniser_fertility.Vocabulary("pieces", Path(PIECE_MODEL).read_bytes()),
+        tokeniser_fertility.Vocabulary("bytes", Path(BYTE_RANKS).read_bytes(), public_tokenizers.PATTERN),
+    ]
+
+
+@_query
+def op11_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabularies = public_vocabularies()
+    found = tokeniser_fertility.measured(table(spark, sf_dir, "documents"), vocabularies, "lang")
+    return tokeniser_fertility.judged(found, vocabularies).select("doc_id", *tokeniser_fertility.PLAIN, "base_failed", "kept")
+
+
+@_query
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(ranked_search.build(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
+_TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+SQL["op12_ranked_search"] = f"""
+with texts as (select row_number() over () as r, doc_id, {_TERMS} as terms from documents where text is not null),
+lengths as (select r, doc_id, len(terms) as n from texts where len(terms) > 0),
+totals as (select count(*) as docs, sum(n)::bigint as words from lengths),
+tfs as (select r, term, count(*) as tf from (select r, unnest(terms) as term from texts) group by r, term),
+dfs as (select term, count(*) as df from tfs group by term),
+items as (select distinct item_id, unnest({_TERMS}) as term from benchmark),
+weights as (
+    select item_id, term, floor(1000 * ln((2 * docs + 2)::double / (2 * df + 1)::double))::bigint as w from items join dfs using (term), totals
+),
+scores as (
+    select item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // words))))::bigint as score
+    from weights join tfs using (term) join lengths using (r), totals group by item_id, r, doc_id
+),
+ranked as (
+    select item_id, row_number() over (partition by item_id order by score desc, doc_id nulls last)::int as rank, doc_id, score
+    from scores where score > 0
+)
+select item_id, rank, doc_id, score from ranked where rank <= 10
+"""
