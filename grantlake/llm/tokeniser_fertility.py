@@ -40,7 +40,7 @@ DIGITS = {"chars": 2, "fallback": 3, "entropy": 2}
 ENOUGH = 50
 PIECE = 256
 #: Bytes of text whose words are encoded together.
-_SLICE = 1 << 21
+_SLICE = 1 << 22
 _CLASSES = c.byte_table(b"\x20\x09\x0a\x0b\x0c\x0d", lower=False)
 _SYMBOLS = np.zeros(256, np.int64)
 _SYMBOLS[np.frombuffer(b"#*$%&|<>", np.uint8)] = 1
@@ -107,43 +107,48 @@ def script(text: str) -> str:
     return most if counts[most] else "none"
 
 
-def _plain(raw: np.ndarray, offsets: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
-    """The counts of the plain rules per row; begin and end of each word, and how many words come before each row."""
+def _repeats(values: np.ndarray) -> np.ndarray:
+    """How often each value of an array stands in it."""
+    numbers = pa.array(values).dictionary_encode().indices.to_numpy()
+    return np.bincount(numbers)[numbers] if len(values) else np.zeros(0, np.int64)
+
+
+def _plain(raw: np.ndarray, offsets: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The counts of the plain rules per row; begin, end and hash of each word, and how many words come before each row."""
     marks, begins, ends, rows = c.word_spans(raw, offsets, _CLASSES)
-    leads = np.zeros(len(raw) + 1, np.int64)
-    np.cumsum((raw & 0xC0) != 0x80, out=leads[1:])
-    filled = np.zeros(len(raw) + 1, np.int64)
-    np.cumsum(marks != 0, out=filled[1:])
     many = len(offsets) - 1
+    leads = np.zeros(len(raw) + 1, np.int32 if len(raw) < 1 << 31 else np.int64)
+    np.cumsum((raw & 0xC0) != 0x80, out=leads[1:])
 
     first, last = c.stretches(raw != 10, offsets)
-    told = filled[last] > filled[first]
+    # A line tells something if a word begins in it.
+    told = np.searchsorted(begins, last) > np.searchsorted(begins, first)
     first, last = first[told], last[told]
     of = np.searchsorted(offsets, first, side="right") - 1
-    lines = c.span_hashes(raw, first, last)
-    order = np.lexsort((lines, of))
-    lines, of = lines[order], of[order]
-    again = of[1:][(lines[1:] == lines[:-1]) & (of[1:] == of[:-1])]
-
-    runs = c.run_hashes(c.span_hashes(marks, begins, ends), WINDOW)
+    salt = c.mixed(np.arange(1, many + 1, dtype=np.uint64))
+    lines = pa.array(c.span_hashes(raw, first, last) ^ salt[of]).dictionary_encode().indices.to_numpy()
+    distinct = np.zeros(many, np.int64)
+    ahead = np.zeros(lines.max(initial=-1) + 1, np.int64)
+    ahead[lines[::-1]] = of[::-1]
+    np.add.at(distinct, ahead, 1)
+
+    words = c.span_hashes(marks, begins, ends)
+    runs = c.run_hashes(words, WINDOW)
     row = np.repeat(np.arange(many), np.diff(rows))[: len(runs)]
     start = np.flatnonzero(np.arange(len(runs)) + WINDOW <= rows[row + 1])
-    order = start[np.lexsort((runs[start], row[start]))]
-    same = (runs[order][1:] == runs[order][:-1]) & (row[order][1:] == row[order][:-1])
-    twice = order[np.concatenate([same, [False]]) | np.concatenate([[False], same])] if len(order) else order
+    twice = start[_repeats(runs[start] ^ salt[row[start]]) > 1]
     edges = np.zeros(len(begins) + 1, np.int64)
     np.add.at(edges, twice, 1)
     np.add.at(edges, twice + WINDOW, -1)
-    covered = np.cumsum(edges)[:-1] > 0
 
     counts = {
         "n_words": np.diff(rows),
-        "word_chars": c.reduced(leads[ends] - leads[begins], rows),
+        "word_chars": c.reduced((leads[ends] - leads[begins]).astype(np.int64), rows),
         "n_symbols": c.reduced(_SYMBOLS[raw], offsets),
-        "n_dup_lines": np.bincount(again, minlength=many),
-        "n_repeat_words": c.reduced(covered.astype(np.int64), rows),
+        "n_dup_lines": np.bincount(of, minlength=many) - distinct,
+        "n_repeat_words": c.reduced((np.cumsum(edges)[:-1] > 0).astype(np.int64), rows),
     }
-    return counts, begins, ends, rows
+    return counts, begins, ends, words, rows
 
 
 def _fertility(encoder: _Encoder, words: list[str], which: np.ndarray, rows: np.ndarray, chars: np.ndarray) -> list[np.ndarray]:
@@ -177,9 +182,11 @@ def measured(documents: DataFrame, vocabularies: Sequence[Vocabulary], language:
         encoders = [_encoder(v) for v in vocabularies]
         for batch in c.slices(batches, most=_SLICE):
             raw, offsets = c.utf8(batch.column("text"))
-            counts, begins, ends, rows = _plain(raw, offsets)
-            words = c.gathered(raw, begins, ends).dictionary_encode()
-            spelled, which = words.dictionary.to_pylist(), words.indices.to_numpy()
+            counts, begins, ends, words, rows = _plain(raw, offsets)
+            which = pa.array(words).dictionary_encode().indices.to_numpy()
+            one = np.zeros(which.max(initial=-1) + 1, np.int64)
+            one[which] = np.arange(len(which))
+            spelled = c.gathered(raw, begins[one], ends[one]).to_pylist()
             found = [x for e in encoders for x in _fertility(e, list(spelled), which, rows, counts["word_chars"])]
             named = batch.column("language")
             if named.null_count:
