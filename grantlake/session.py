@@ -58,3 +58,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that nothing reads any more, on whatever file system it is."""
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
