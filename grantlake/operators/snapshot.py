@@ -85,7 +85,8 @@ def completed_batches(ledger: DataFrame) -> DataFrame:
 
 def ready_snapshots(ledger: DataFrame, pending: DataFrame) -> DataFrame:
     """Snapshots whose marker asks for no more batches than are registered, with their cutoff."""
-    wanted = pending.dropDuplicates([*SNAPSHOT_KEY, "num_of_batches"])
+    # Markers of one snapshot may differ in what their scope leaves open; each removes what it covers.
+    wanted = pending.distinct()
     return (
         wanted.join(completed_batches(ledger), SNAPSHOT_KEY)
         .filter((F.col("n_batches") >= F.col("num_of_batches")) & F.col("cutoff").isNotNull())
@@ -97,37 +98,34 @@ def _equal(stored: Column, scope: Column) -> Column:
     return (stored == scope) & (scope != "")
 
 
-def stale_conditions(state: DataFrame, cutoffs: DataFrame, ts: str) -> list[tuple[DataFrame, Column]]:
-    """The cutoffs by how their scope is limited, each with an equality condition on that scope."""
-    parts = []
-    for with_tenancy in (True, False):
-        for with_service in (True, False):
-            mine = cutoffs.filter(
-                (F.col("scope_tenancy").isNotNull() if with_tenancy else F.col("scope_tenancy").isNull())
-                & (F.col("scope_service").isNotNull() if with_service else F.col("scope_service").isNull())
-            )
-            scope = (["scope_tenancy"] if with_tenancy else []) + (["scope_service"] if with_service else [])
-            latest = mine.groupBy(*scope).agg(F.max("cutoff").alias("_cutoff"))
-            condition = state[ts] < latest["_cutoff"]
-            if with_tenancy:
-                condition = condition & _equal(state["tenancy_id"], latest["scope_tenancy"])
-            if with_service:
-                condition = condition & _equal(state["service_instance_id"], latest["scope_service"])
-            parts.append((latest, condition))
-    return parts
-
-
-def remove_stale(state: DataFrame, ready: DataFrame, ts: str = "event_timestamp") -> DataFrame:
+def remove_stale(state: DataFrame, ready: DataFrame, ts: str = "event_timestamp", load: str | None = None) -> DataFrame:
     """Drop rows older than their snapshot's earliest batch, inside the snapshot's scope.
 
     ``ready`` holds the snapshots of this entity. Scopes without a tenant or service
-    have no equality to join on; that side is one row, the latest such cutoff.
+    have no equality to join on; that side is one row, the latest such cutoff. ``load`` names a column of both frames: a
+    cutoff then only concerns rows of earlier loads.
     """
-    for latest, condition in stale_conditions(state, ready, ts):
-        state = state.join(latest, condition, "left_anti")
+    for tenancy in (True, False):
+        for service in (True, False):
+            limited = {"scope_tenancy": tenancy, "scope_service": service}
+            mine = ready
+            for column, set_ in limited.items():
+                mine = mine.filter(F.col(column).isNotNull() if set_ else F.col(column).isNull())
+            scope = [c for c, set_ in limited.items() if set_]
+            by = [*scope, F.col(load).alias("_load")] if load else scope
+            latest = mine.groupBy(*by).agg(F.max("cutoff").alias("_cutoff"))
+            condition = state[ts] < latest["_cutoff"]
+            if load:
+                condition = condition & (state[load] < latest["_load"])
+            for column in scope:
+                condition = condition & _equal(state[_SCOPED[column]], latest[column])
+            state = state.join(latest, condition, "left_anti")
     return state
 
 
+_SCOPED = {"scope_tenancy": "tenancy_id", "scope_service": "service_instance_id"}
+
+
 def clear_ledger(ledger: DataFrame, ready: DataFrame) -> DataFrame:
     """The ledger without the finished snapshots, so that a second run finds nothing."""
     return ledger.join(ready.select(*SNAPSHOT_KEY).distinct(), SNAPSHOT_KEY, "left_anti")

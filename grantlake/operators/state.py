@@ -6,18 +6,23 @@ the state once per group; here the whole sequence is one set-oriented plan:
 
 * an upsert is a candidate row, the stored row is the oldest candidate;
 * a delete removes the matching candidates of earlier groups (anti join);
-* of what is left, the newest candidate of each key wins (one aggregate, with
-  partial aggregation before the shuffle, so a hot key costs one row per task).
+* of what is left, the newest candidate of each key wins.
 
-Deletes that look at the stored timestamp depend on which row is stored at that
-moment. They take ``_fold``, which walks the at most one candidate per group.
+The newest are ranked in each task first, so a hot key sends one row per task; rows of any width move
+once, and nothing gathers the rows of a key.
+
+Deletes that spare newer rows leave the same result, as long as all candidates of a key answer to the same
+deletes: whatever an older row of the key loses to such a delete, the row that it would have kept out loses, too.
+The other keys (a row may change the columns by which it is deleted) are walked in order, see ``_walked``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from grantlake.entities import SCOPE, DeleteRoute, Entity
@@ -33,56 +38,54 @@ def _blank(name: str) -> Column:
     return F.nullif(F.col(name), F.lit(""))
 
 
-def _key_columns(df: DataFrame, keys: list[str]) -> list[Column]:
-    """The grouping expressions of a key; only text has the empty/NULL ambiguity."""
+def _normal(df: DataFrame, keys: list[str]) -> list[Column]:
+    """The parts of a key as they are compared; only text has the empty/NULL ambiguity."""
     text = {f.name for f in df.schema.fields if f.dataType.typeName() == "string"}
-    return [(_blank(k) if k in text else F.col(k)).alias(f"_k{i}") for i, k in enumerate(keys)]
+    return [_blank(k) if k in text else F.col(k) for k in keys]
 
 
-def _newest_first(ts: str) -> Column:
-    return -F.unix_micros(F.col(ts).cast("timestamp"))
+def key_columns(df: DataFrame, keys: list[str]) -> list[Column]:
+    """The parts of a key as grouping expressions ``_k0`` and on."""
+    return [k.alias(f"_k{i}") for i, k in enumerate(_normal(df, keys))]
 
 
-def _candidates(df: DataFrame, keys: list[str], ts: str, order: list[str]) -> DataFrame:
-    """Per key: the newest dated row, the first undated row, and when each kind was first seen."""
-    row, at = F.struct(*df.columns), F.struct(*order)
-    dated = F.col(ts).isNotNull()
-    return df.groupBy(*_key_columns(df, keys)).agg(
-        F.min_by(row, F.when(dated, F.struct(_newest_first(ts).alias("n"), *order))).alias("dated"),
-        F.min(F.when(dated, at)).alias("dated_at"),
-        F.min_by(row, F.when(~dated, at)).alias("undated"),
-        F.min(F.when(~dated, at)).alias("undated_at"),
-    )
+def matches_key(rows: DataFrame, keys: list[str]) -> Column:
+    """The condition that joins rows with a frame of ``key_columns``."""
+    return reduce(lambda a, b: a & b, [k.eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(_normal(rows, keys))])
 
 
-def _undated_is_first() -> Column:
-    return F.col("undated_at").isNotNull() & (
-        F.col("dated_at").isNull() | (F.col("undated_at") < F.col("dated_at"))
-    )
+def _first(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """The first row of each key; a task sends one row per key at most."""
+    ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(*_normal(rows, keys)).orderBy(*order)))
+    return ranked.filter("_rank = 1").drop("_rank")
 
 
-def newest_per_key(df: DataFrame, keys: list[str], ts: str | None = TIME, order: list[str] | None = None) -> DataFrame:
+def newest_per_key(
+    df: DataFrame, keys: list[str], ts: str | None = TIME, order: list[str] | None = None, dated: bool = False
+) -> DataFrame:
     """One row per key, as inserting the rows in order and updating only with newer ones would leave.
 
     Ties keep the earlier row. An undated row is never replaced and never replaces,
-    so it wins only where it came first. Without ``ts`` the last arrival wins.
+    so it wins only where it came first. Without ``ts`` the last arrival wins. ``order`` tells the rows of a key apart; ``dated`` says that all rows have a time.
     """
     order = order or ["_step", "_seq"]
     if ts is None:
-        picked = df.groupBy(*_key_columns(df, keys)).agg(
-            F.max_by(F.struct(*df.columns), F.struct(*order)).alias("row")
-        )
-    else:
-        picked = _candidates(df, keys, ts, order).select(
-            F.when(_undated_is_first(), F.col("undated")).otherwise(F.col("dated")).alias("row")
-        )
-    return picked.select("row.*")
+        return _first(df, keys, [F.desc(c) for c in order])
+    arrival = [F.asc(c) for c in order]
+    newest = _first(df, keys, [F.desc_nulls_last(ts), *arrival])
+    if dated:
+        return newest
+    # Keys with an undated row also need to know which row came first; they are few, if any.
+    undated = df.filter(F.col(ts).isNull())
+    some = df.join(undated.select(*key_columns(df, keys)).distinct(), matches_key(df, keys), "left_semi")
+    stuck = _first(some, keys, arrival).filter(F.col(ts).isNull())
+    return newest.join(stuck.select(*key_columns(df, keys)), matches_key(newest, keys), "left_anti").unionByName(stuck)
 
 
 # -- merge -------------------------------------------------------------------------
 
 
-def _as_stored(target: DataFrame, like: DataFrame) -> DataFrame:
+def as_stored(target: DataFrame, like: DataFrame) -> DataFrame:
     """The stored rows as candidates older than any change: NULL sorts first."""
     return target.withColumns({c: F.lit(None).cast(like.schema[c].dataType) for c in ("_step", "_seq")})
 
@@ -109,7 +112,7 @@ def merge_latest(
     changes = source.withColumns({"_seq": F.struct(*order), "_step": F.lit(0).cast("long")}).select(
         *columns, "_step", "_seq"
     )
-    rows = _as_stored(target, changes).unionByName(changes)
+    rows = as_stored(target, changes).unionByName(changes)
     return newest_per_key(rows, keys, ts).select(*columns)
 
 
@@ -172,81 +175,109 @@ def split_changes(changes: DataFrame, entity: Entity) -> tuple[DataFrame, DataFr
     return changes.filter(~removal).withColumn("_step", phase(1)), changes.filter(removal).withColumn("_step", phase(0))
 
 
-def apply_changes(target: DataFrame, changes: DataFrame, entity: Entity) -> DataFrame:
+def apply_changes(target: DataFrame, changes: DataFrame, entity: Entity, dated: bool = False) -> DataFrame:
     """The state after a load.
 
     ``changes`` are flattened rows with ``_route``, ``_step`` (rank of the group in
-    application order) and ``_seq`` (order inside it).
+    application order) and ``_seq`` (order inside it). ``dated`` says that every row has a time.
     """
-    columns = entity.column_names
+    columns, keys = entity.column_names, list(entity.state_key)
     upserts, deletes = split_changes(changes, entity)
-    rows = _as_stored(target.select(*columns), upserts).unionByName(upserts.select(*columns, "_step", "_seq"))
-    if entity.newer_only_delete:
-        return _fold(rows, deletes, entity).select(*columns)
-    for route, events in routed(deletes, entity.routes):
-        keys = [*route.keys, *SCOPE]
-        last = (
-            events.filter(_complete(keys))
-            .groupBy(*[F.col(k).alias(f"_d_{k}") for k in keys])
-            .agg(F.max("_step").alias("_d_step"))
-        )
-        rows = rows.join(last, _matches(rows, last, keys) & _before(rows["_step"], last["_d_step"]), "left_anti")
-    return newest_per_key(rows, list(entity.state_key)).select(*columns)
+    rows = as_stored(target.select(*columns), upserts).unionByName(upserts.select(*columns, "_step", "_seq"))
+    if not entity.newer_only_delete:
+        return newest_per_key(surviving(rows, deletes, entity), keys, dated=dated).select(*columns)
+    knots = _knots(rows, entity)
+    alone = surviving(rows.join(knots, matches_key(rows, keys), "left_anti"), deletes, entity)
+    tangled = _walked(rows.join(knots, matches_key(rows, keys), "left_semi"), deletes, entity)
+    return newest_per_key(alone, keys, dated=True).select(*columns).unionByName(tangled.select(*columns))
 
 
-def _one_per_group(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """At most two candidates per key and group: the newest dated one, and an earlier undated one.
+def _delete_steps(events: DataFrame, keys: list[str], newer_only: bool) -> DataFrame:
+    """The groups of each delete key that decide: the last one, or the staircase of times.
 
-    Only these can end up stored, whatever was stored before the group.
+    A step of the staircase is a group whose time exceeds those of all later ones; if any later delete is newer than a
+    row, then the first step after the row is. The window holds one narrow row per key and group.
     """
-    reduced = _candidates(rows, [*keys, "_step"], TIME, ["_step", "_seq"])
-    kept = F.array_compact(F.array(F.when(_undated_is_first(), F.col("undated")), F.col("dated")))
-    return reduced.select(F.explode(kept).alias("row")).select("row.*")
-
-
-def _with_kill(rows: DataFrame, deletes: DataFrame, entity: Entity) -> DataFrame:
-    """Add ``_kill``: the first later group with a matching, newer delete.
-
-    The list joined to a row has one entry per group that deletes its key, so it is
-    as short as the load has groups.
-    """
-    kills = []
-    for i, (route, events) in enumerate(routed(deletes, entity.routes)):
+    names = [F.col(k).alias(f"_d_{k}") for k in keys]
+    usable = events.filter(_complete(keys))
+    if not newer_only:
+        return usable.groupBy(*names).agg(F.max("_step").alias("_d_step"))
+    groups = usable.filter(F.col(TIME).isNotNull()).groupBy(*names, F.col("_step").alias("_d_step")).agg(F.max(TIME).alias("_d_ts"))
+    later = Window.partitionBy(*[f"_d_{k}" for k in keys]).orderBy(F.desc("_d_step")).rowsBetween(Window.unboundedPreceding, -1)
+    stairs = groups.withColumn("_later", F.max("_d_ts").over(later))
+    return stairs.filter(F.col("_later").isNull() | (F.col("_d_ts") > F.col("_later"))).drop("_later")
+
+
+def surviving(rows: DataFrame, deletes: DataFrame, entity: Entity) -> DataFrame:
+    """The candidates that no later group deletes."""
+    for route, events in routed(deletes, entity.routes):
         keys = [*route.keys, *SCOPE]
-        names = [F.col(k).alias(f"_d_{k}") for k in keys]
-        per_group = events.filter(_complete(keys)).groupBy(*names, "_step").agg(F.max(TIME).alias("ts"))
-        per_key = per_group.groupBy(*[f"_d_{k}" for k in keys]).agg(
-            F.collect_list(F.struct(F.col("_step").alias("step"), "ts")).alias("_dels")
-        )
-        joined = rows.join(per_key, _matches(rows, per_key, keys), "left")
-        later = F.filter(
-            F.col("_dels"), lambda d: _before(F.col("_step"), d["step"]) & (d["ts"] > F.col(TIME))
-        )
-        kills.append(f"_kill{i}")
-        rows = joined.withColumn(f"_kill{i}", F.array_min(F.transform(later, lambda d: d["step"]))).drop(
-            "_dels", *[f"_d_{k}" for k in keys]
-        )
-    first = F.least(*kills) if len(kills) > 1 else F.col(kills[0])
-    return rows.withColumn("_kill", first).drop(*kills)
-
-
-def _fold(rows: DataFrame, deletes: DataFrame, entity: Entity) -> DataFrame:
-    """Walk each key's candidates in group order, with deletes that spare newer rows.
-
-    A stored row goes when its first newer delete comes before the next candidate;
-    otherwise a candidate replaces it only if strictly newer.
+        steps = _delete_steps(events, keys, entity.newer_only_delete)
+        condition = _matches(rows, steps, keys) & _before(rows["_step"], steps["_d_step"])
+        if entity.newer_only_delete:
+            condition = condition & (rows[TIME] < steps["_d_ts"])
+        rows = rows.join(steps, condition, "left_anti")
+    return rows
+
+
+# -- keys whose rows answer to different deletes -----------------------------------
+
+
+def _knots(rows: DataFrame, entity: Entity) -> DataFrame:
+    """Keys with candidates that differ in a column by which they are deleted, or among which one has no time."""
+    loose = sorted({c for route in entity.routes for c in route.keys} - set(entity.state_key))
+    mark = F.xxhash64(*loose) if loose else F.lit(0).cast("long")
+    narrow = rows.select(*key_columns(rows, list(entity.state_key)), mark.alias("mark"), F.col(TIME).isNull().cast("int").alias("undated"))
+    names = [c for c in narrow.columns if c.startswith("_k")]
+    found = narrow.groupBy(*names).agg(F.min("mark").alias("low"), F.max("mark").alias("high"), F.sum("undated").alias("undated"))
+    return found.filter("low <> high or undated > 0").select(*names)
+
+
+def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What each key holds in the end, one event after the other; no more than one row of a key is kept."""
+    key = held = None
+    for batch in batches:
+        done = []
+        for k, id, at, kills in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            if k != key:
+                if held:
+                    done.append((key, held[0]))
+                key, held = k, None
+            if kills:
+                if held and held[0] == id:
+                    held = None
+            elif held is None or (at is not None and held[1] is not None and held[1] < at):
+                held = (id, at)
+        yield _held(done)
+    yield _held([(key, held[0])] if held else [])
+
+
+def _held(rows: list[tuple[str, int]]) -> pa.RecordBatch:
+    columns = ([r[0] for r in rows], [r[1] for r in rows])
+    return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int64())], ["_key", "_id"])
+
+
+def _walked(rows: DataFrame, deletes: DataFrame, entity: Entity) -> DataFrame:
+    """The rows that applying every event in order leaves.
+
+    Each candidate meets at most one delete, the first later one that is newer. Candidates and these deletes are sorted by
+    key and group and read once; of the rows of a key only narrow columns are dealt to one task.
     """
     keys = list(entity.state_key)
-    marked = _with_kill(_one_per_group(rows, keys), deletes, entity)
-    item = F.struct("_step", "_seq", F.col(TIME).alias("ts"), F.col("_kill").alias("kill"), F.struct(*entity.column_names).alias("row"))
-    lists = marked.groupBy(*_key_columns(marked, keys)).agg(F.sort_array(F.collect_list(item)).alias("items"))
-    item_type = lists.schema["items"].dataType.elementType
-
-    def step(held: Column, new: Column) -> Column:
-        replaces = held.isNull() | (held["kill"] < new["_step"]) | (held["ts"] < new["ts"])
-        return F.when(F.coalesce(replaces, F.lit(False)), new).otherwise(held)
-
-    # Through a generator, below which Spark does not push the filter and walk twice.
-    walked = F.array(F.aggregate("items", F.lit(None).cast(item_type), step))
-    last = lists.select(F.explode_outer(walked).alias("last"))
-    return last.filter(F.col("last.kill").isNull()).select("last.row.*")
+    key = F.to_json(F.struct(*key_columns(rows, keys)))
+    named = rows.withColumns({"_key": key, "_id": F.xxhash64("_step", "_seq")})
+    narrow = named.select("_key", "_id", "_step", "_seq", F.unix_micros(F.col(TIME).cast("timestamp")).alias("_at"), TIME,
+                          *sorted({c for route in entity.routes for c in (*route.keys, *SCOPE)} - {TIME}))
+    kills = None
+    for route, events in routed(deletes, entity.routes):
+        by = [*route.keys, *SCOPE]
+        names = [F.col(k).alias(f"_d_{k}") for k in by]
+        groups = events.filter(_complete(by)).groupBy(*names, F.col("_step").alias("_d_step")).agg(F.max(TIME).alias("_d_ts"))
+        condition = _matches(narrow, groups, by) & _before(narrow["_step"], groups["_d_step"]) & (narrow[TIME] < groups["_d_ts"])
+        hit = narrow.join(groups, condition).select("_key", "_id", "_d_step")
+        kills = hit if kills is None else kills.unionByName(hit)
+    kills = kills.groupBy("_key", "_id").agg(F.min("_d_step").alias("_step")).withColumn("_kills", F.lit(True))
+    events = narrow.select("_key", "_id", "_step", "_seq", "_at", F.lit(False).alias("_kills")).unionByName(kills, allowMissingColumns=True)
+    ordered = events.repartition("_key").sortWithinPartitions("_key", "_step", "_seq").select("_key", "_id", "_at", "_kills")
+    held = ordered.mapInArrow(_walk, "_key string, _id long")
+    return named.join(held, ["_key", "_id"], "left_semi")

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grantlake.entities import ENTITIES, SCOPE, DeleteRoute
 from grantlake.operators.flatten import flatten
 from grantlake.operators.state import apply_changes, apply_deletes, merge_latest, newest_per_key, routed
 from grantlake.plans.registry import OPERATION_SQL, feed, json_of, plain_time, query, spread_table, table, text
-from grantlake.session import stage
+from grantlake.session import scratch_path, stage
+from grantlake.sinks.tables import StateTable
 from grantlake.sources.messages import group_order
 
 _EVENT = ["event_id", "ts", "user_id", "event_type", "value", "props"]
@@ -440,3 +441,110 @@ def assignment_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     final = apply_changes(by_supplier, single, entity)
     return final.select("assignment_id", plain_time("event_timestamp").alias("event_timestamp"))
+
+
+# -- delete routes of the entities ---------------------------------------------------
+
+
+def entity_rows(df: DataFrame, name: str, route: str | Column, step: int, ts: str | Column, **values: Column) -> DataFrame:
+    """Change rows of an entity with ``values``, all other columns empty; ``ts`` is the event time."""
+    entity = ENTITIES[name]
+    columns = {c.name: F.lit("" if c.kind in ("text", "json") else None).cast(c.spark_type) for c in entity.columns}
+    time = F.col(ts) if isinstance(ts, str) else ts
+    columns |= {"tenancy_id": F.lit("T"), "service_instance_id": F.lit("S"), "event_timestamp": time.cast("timestamp"), **values}
+    return df.select(
+        *[v.alias(k) for k, v in columns.items()],
+        (F.lit(route) if isinstance(route, str) else route).alias("_route"),
+        F.lit(step).cast("long").alias("_step"),
+        F.monotonically_increasing_id().alias("_seq"),
+    )
+
+
+def _named(prefix: str, column: str | Column) -> Column:
+    return F.concat(F.lit(prefix), text(column))
+
+
+@query(
+    "delete_identity",
+    """select 'o' || l_orderkey as id, 'p' || l_partkey as ti_id, max(l_shipdate) as event_timestamp from lineitem l
+       where not exists (select 1 from orders o where o_orderstatus = 'F' and o.o_orderkey = l.l_orderkey)
+         and not exists (select 1 from orders o where o_orderstatus = 'P' and o.o_orderkey = l.l_partkey)
+         and not exists (select 1 from orders o where o_orderstatus = 'O' and o.o_custkey * 3 = l.l_partkey)
+       group by 1, 2""",
+)
+def delete_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DEL-4: identities go by their id or, where that is empty or null, by the id of the target."""
+    name = "IDENTITY"
+    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    held = entity_rows(lines, name, "CREATE", 0, "l_shipdate", id=_named("o", "l_orderkey"), ti_id=_named("p", "l_partkey"))
+    status = F.col("o_orderstatus")
+    deletes = entity_rows(
+        orders, name, "DELETE", 1, "o_orderdate",
+        id=F.when(status == "F", _named("o", "o_orderkey")).when(status == "P", ""),
+        ti_id=F.when(status == "P", _named("p", "o_orderkey")).otherwise(_named("p", F.col("o_custkey") * 3)),
+    )
+    changes = stage(held.unionByName(deletes), "changes")
+    state = apply_changes(spark.createDataFrame([], ENTITIES[name].schema), changes, ENTITIES[name], dated=True)
+    return state.select("id", "ti_id", plain_time("event_timestamp").alias("event_timestamp"))
+
+
+_MEMBERS_SQL = """select 'g' || l_orderkey as id, 'u' || l_partkey as member, max(l_shipdate) as event_timestamp from lineitem l
+       where not exists (select 1 from orders o where o_orderstatus = 'F' and o.o_orderkey = l.l_orderkey)
+         and not exists (select 1 from orders o where o_orderstatus = 'O' and o.o_orderkey = l.l_orderkey and o.o_custkey = l.l_partkey)
+         and not exists (select 1 from lineitem r where r.l_returnflag = 'R' and r.l_orderkey = l.l_orderkey and r.l_partkey = l.l_partkey)
+       group by 1, 2"""
+
+
+def _members(spark: SparkSession, sf_dir: str, name: str, member: str) -> DataFrame:
+    """Lines as members of their order's group. Orders delete the whole group (F), nothing (P: the member is null) or one member (O).
+
+    Lines with the flag R are removed by the label of their row. The members come in one load, the deletes and removals in a second one.
+    """
+    entity = ENTITIES[name]
+    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    status, own = F.col("o_orderstatus"), {"id": _named("g", "l_orderkey"), member: _named("u", "l_partkey")}
+    held = entity_rows(lines, name, "CREATE", 0, "l_shipdate", **own, **{entity.label: F.lit("add")})
+    removed = entity_rows(lines.filter("l_returnflag = 'R'"), name, "UPDATE", 1, "l_shipdate", **own, **{entity.label: F.lit("remove")})
+    gone = F.when(status == "F", "").when(status == "O", _named("u", "o_custkey"))
+    deletes = entity_rows(orders, name, "DELETE", 2, "o_orderdate", id=_named("g", "o_orderkey"), **{member: gone})
+    state = StateTable(spark, scratch_path(spark, "members"), entity)
+    state.load(stage(held, "changes"))
+    state.load(stage(removed.unionByName(deletes), "changes"))
+    return state.read().select("id", F.col(member).alias("member"), plain_time("event_timestamp").alias("event_timestamp"))
+
+
+@query("delete_group", _MEMBERS_SQL)
+def delete_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DEL-3: a delete without a member takes the whole group, one with a member that member, one whose member is null nothing."""
+    return _members(spark, sf_dir, "CLOUD_GROUP", "identity_global_id")
+
+
+@query("delete_collection", _MEMBERS_SQL)
+def delete_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DEL-3, MEM-1: the same for collections of identities."""
+    return _members(spark, sf_dir, "GLOBAL_IDENTITY_COLLECTION", "member_global_id")
+
+
+@query(
+    "delete_every_entity",
+    f"""select entity, o_orderpriority as priority, count(*) as n_rows, sum(o_orderkey)::bigint as keys
+        from orders, unnest([{", ".join(f"'{name}'" for name in ENTITIES)}]) as e(entity)
+        where o_orderstatus <> 'F' or (entity = 'PERMISSION_ASSIGNMENT' and o_orderkey % 2 = 1)
+        group by 1, 2""",
+)
+def delete_every_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DEL-6: every entity's rows are created and deleted by its own key; assignments newer than their delete stay."""
+    orders, out = table(spark, sf_dir, "orders"), None
+    for name, entity in ENTITIES.items():
+        by = {*entity.key, *(c for route in entity.routes for c in route.keys)}
+        own = {c: text("o_orderkey") for c in by}
+        label = {entity.label: F.lit("")} if entity.label else {}
+        held = entity_rows(orders, name, "CREATE", 0, "o_orderdate", **own, **label, event_object_type=F.col("o_orderpriority"))
+        day = F.expr("o_orderdate + make_interval(0, 0, 0, if(o_orderkey % 2 = 1, -1, 1))")
+        deletes = entity_rows(orders.filter("o_orderstatus = 'F'"), name, "DELETE", 1, day, **own, **label)
+        state = apply_changes(spark.createDataFrame([], entity.schema), held.unionByName(deletes), entity, dated=True)
+        counts = state.groupBy(F.lit(name).alias("entity"), F.col("event_object_type").alias("priority")).agg(
+            F.count("*").alias("n_rows"), F.sum(F.col(entity.key[0]).cast("long")).alias("keys")
+        )
+        out = counts if out is None else out.unionByName(counts)
+    return out

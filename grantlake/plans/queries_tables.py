@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from grantlake.operators import rejects as rej
 from grantlake.operators import snapshot as snap
 from grantlake.operators.flatten import flatten
 from grantlake.plans.jobs import run
-from grantlake.plans.load import finish_snapshots, load_history, load_state
+from grantlake.plans.load import LoadReport, finish_snapshots, load_history, load_state
 from grantlake.plans.queries_sources import message_frame, write_feed
 from grantlake.plans.queries_state import resource_changes
 from grantlake.plans.registry import OPERATION_SQL, feed, json_of, plain_time, query, spread_table, table, text
@@ -126,6 +128,25 @@ def stale_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("event_id", "user_id", "event_type", plain_time("event_timestamp").alias("ts"))
 
 
+@query(
+    "stale_rows_open_scopes",
+    """select event_id, user_id, ts from events
+       where not (ts < timestamp '2024-01-04 00:00:00' or (user_id % 3 = 1 and ts < timestamp '2024-01-15 00:00:00')
+                  or (event_type = 'view' and ts < timestamp '2024-01-10 00:00:00')
+                  or (event_type = 'click' and user_id % 3 = 2 and ts < timestamp '2024-01-20 00:00:00'))""",
+)
+def stale_rows_open_scopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNP-5: cutoffs without any scope, of a service of all tenants, of a tenant with all services, and of both."""
+    state = table(spark, sf_dir, "events").select(
+        "event_id", "user_id", F.col("ts").cast("timestamp").alias("event_timestamp"),
+        F.col("event_type").alias("tenancy_id"), F.concat(F.lit("s"), F.col("user_id") % 3).alias("service_instance_id"),
+    )
+    cutoffs = [(None, None, 4), (None, "s1", 15), (None, "s1", 2), ("view", None, 10), ("click", "s2", 20), ("", "s0", 30)]
+    ready = spark.createDataFrame(cutoffs, "scope_tenancy string, scope_service string, day int")
+    ready = ready.withColumn("cutoff", F.make_timestamp(F.lit(2024), F.lit(1), "day", F.lit(0), F.lit(0), F.lit(0)))
+    return snap.remove_stale(state, ready).select("event_id", "user_id", plain_time("event_timestamp").alias("ts"))
+
+
 # -- progress ----------------------------------------------------------------------
 
 _NOW = "timestamp '2001-01-01 03:00:00'"
@@ -307,7 +328,7 @@ def history_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def state_table_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-4, RTE-1: the state table loaded in three parts, one of them replayed."""
     rows = resource_changes(spark, sf_dir, daily=True)
-    state = StateTable(spark, scratch_path(spark, "state"), ENTITIES["RESOURCE"], buckets=8)
+    state = StateTable(spark, scratch_path(spark, "state"), ENTITIES["RESOURCE"])
     state.create()
     for batch, (low, high) in enumerate([(0, 10), (10, 20), (20, 1000)]):
         part = rows.filter(F.col("_step").between(low, high - 1))
@@ -316,6 +337,29 @@ def state_table_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.read().select("id", "resource_name", "external_id", plain_time("event_timestamp").alias("event_timestamp"))
 
 
+@query(
+    "state_reads_by_tenant",
+    f"""with e as (select *, {OPERATION_SQL} as op, cast(ts as date) as d from events),
+             dels as (select user_id, max(d) as last_d from e where op = 'DELETE' group by user_id),
+             kept as (select e.*, row_number() over (partition by e.user_id order by ts desc, event_id) as rn
+                      from e left join dels using (user_id)
+                      where op <> 'DELETE' and (last_d is null or last_d <= d))
+        select 't' || (user_id % 7) as tenancy_id, cast(user_id as varchar) as id, cast(event_id as varchar) as external_id,
+               ts as event_timestamp from kept where rn = 1""",
+)
+def state_reads_by_tenant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-9: seven tenants' rows, read one tenant after the other from a table that is compacted between two of three loads."""
+    rows = resource_changes(spark, sf_dir, daily=True).withColumn("tenancy_id", F.concat(F.lit("t"), F.col("id").cast("long") % 7))
+    state = StateTable(spark, scratch_path(spark, "state"), ENTITIES["RESOURCE"], part_rows=1000)
+    for batch, (low, high) in enumerate([(0, 10), (10, 20), (20, 1000)]):
+        state.load(rows.filter(F.col("_step").between(low, high - 1)), "daily", batch)
+        if batch == 1:
+            state.compact()
+    parts = [state.read(tenancy_id=f"t{k}") for k in range(7)]
+    found = reduce(DataFrame.unionByName, parts)
+    return found.select("tenancy_id", "id", "external_id", plain_time("event_timestamp").alias("event_timestamp"))
+
+
 def _message_files(spark: SparkSession, messages: DataFrame) -> str:
     # One message per line; Spark's base64 breaks long text into lines of its own.
     path = scratch_path(spark, "messages")
@@ -325,7 +369,7 @@ def _message_files(spark: SparkSession, messages: DataFrame) -> str:
 
 def _feed_config(spark: SparkSession, path: str, name: str, max_files: int = 2, **more) -> FeedConfig:
     return FeedConfig(
-        path, scratch_path(spark, name), scratch_path(spark, f"{name}-progress"), max_files=max_files, buckets=8, **more
+        path, scratch_path(spark, name), scratch_path(spark, f"{name}-progress"), max_files=max_files, **more
     )
 
 
@@ -374,7 +418,7 @@ def file_to_history_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snapshot_finalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNP-7: with all batches registered and the marker seen, rows the snapshot did not bring go, once."""
     root = scratch_path(spark, "snapshot")
-    state = StateTable(spark, root, ENTITIES["RESOURCE"], buckets=8)
+    state = StateTable(spark, root, ENTITIES["RESOURCE"])
     state.load(resource_changes(spark, sf_dir, daily=True))
     # Every day from the 25th on is a batch of one snapshot.
     day = F.to_date("ts")
@@ -412,7 +456,7 @@ def stream_to_state_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = message_frame(spark, sf_dir, "event_type <> 'error'")
     config = _feed_config(spark, _message_files(spark, messages), "stream-state")
     stream_to_state(spark, config).awaitTermination()
-    state = StateTable(spark, config.root, ENTITIES["RESOURCE"], config.buckets).read()
+    state = StateTable(spark, config.root, ENTITIES["RESOURCE"]).read()
     return state.select("id", "external_id", "resource_name", plain_time("event_timestamp").alias("event_timestamp"))
 
 
@@ -444,7 +488,7 @@ def file_to_state_all(spark: SparkSession, sf_dir: str) -> DataFrame:
             only = f"{_PART_SQL} = {part} and event_type {kind} 'error'"
             write_feed(spark, sf_dir, only, config.path, key="user_id", value="event_id", time=_FILE_TIME)
             run(spark, "file", config).awaitTermination()
-    state = StateTable(spark, config.root, ENTITIES["RESOURCE"], config.buckets).read()
+    state = StateTable(spark, config.root, ENTITIES["RESOURCE"]).read()
     return state.select(
         "id", "resource_name", "external_id", "operation_type", plain_time("event_timestamp").alias("event_timestamp")
     )
@@ -471,7 +515,7 @@ def stream_to_state_all(spark: SparkSession, sf_dir: str) -> DataFrame:
         messages.filter(F.col("part") == part).select("event_id", "value").write.mode("append").parquet(config.path)
         stream = spark.readStream.schema("event_id long, value string").parquet(config.path)
         stream_to_state(spark, config, stream, ["event_id"]).awaitTermination()
-    state = StateTable(spark, config.root, ENTITIES["RESOURCE"], config.buckets).read()
+    state = StateTable(spark, config.root, ENTITIES["RESOURCE"]).read()
     return state.select(
         "id", "external_id", "resource_name", "operation_type", plain_time("event_timestamp").alias("event_timestamp")
     )
@@ -539,7 +583,7 @@ def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         step=F.datediff("ts", F.lit("2024-01-01").cast("date")).cast("long"),
     )
     root = scratch_path(spark, "report")
-    state = load_state(spark, decoded, root, "report", 0, buckets=8)
+    state = load_state(spark, decoded, root, "report", 0)
     history = load_history(spark, decoded, root, "report-0")
     rows = [
         ("RESOURCE", target, report.events["RESOURCE"], report.rows["RESOURCE"])
@@ -584,6 +628,26 @@ def load_account(spark: SparkSession, sf_dir: str) -> DataFrame:
     return total.withColumn("n_input", F.lit(table(spark, sf_dir, "events").count()))
 
 
+@query(
+    "messages_account",
+    """select case event_type when 'view' then 'no readable header' else 'loaded' end as outcome,
+              sum(case event_type when 'click' then 2 else 1 end)::bigint as n_events from events group by 1""",
+)
+def messages_account(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OBS-1, FLT-4: messages that cannot be decoded are counted and kept, so a stream's counts add up to what it read."""
+    kinds = table(spark, sf_dir, "events").select("event_id", "event_type")
+    broken = F.when(F.col("event_type") == "view", F.concat(F.lit("!"), F.substring("value", 1, 40))).otherwise(F.col("value"))
+    messages = message_frame(spark, sf_dir, unrouted="false").join(kinds, "event_id").select("event_id", broken.alias("value"))
+    reports: list[LoadReport] = []
+    config = _feed_config(spark, scratch_path(spark, "messages"), "account", on_report=reports.append)
+    messages.write.parquet(config.path)
+    stream = spark.readStream.schema("event_id long, value string").parquet(config.path)
+    stream_to_history(spark, config, stream, ["event_id"]).awaitTermination()
+    kept = RejectTable(spark, config.root).read().groupBy(F.col("reason").alias("outcome")).agg(F.count("*").alias("n_events"))
+    loaded = [("loaded", sum(n for report in reports for n in report.rows.values()))]
+    return kept.unionByName(spark.createDataFrame(loaded, "outcome string, n_events long"))
+
+
 @query(
     "rejects_kept",
     f"""select case when event_type = 'view' then 'NOBODY' else 'ROLE' end as entity, {_REFUSED_SQL} as reason,

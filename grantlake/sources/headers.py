@@ -80,6 +80,7 @@ OTHER_JOB = "type of another job"
 UNKNOWN_TYPE = "unknown type"
 UNKNOWN_OPERATION = "unsupported operation"
 UNKNOWN_VERSION = "unsupported version"
+NO_HEADER = "no readable header"
 
 
 def skip_reason(audit: bool = False) -> Column:
@@ -88,7 +89,8 @@ def skip_reason(audit: bool = False) -> Column:
     operations = ("CREATE",) if audit else OPERATIONS
     operation = F.coalesce(F.col("operation").isin(*operations), F.lit(False))
     return (
-        F.when(other, OTHER_JOB)
+        F.when(F.col("message_type").isNull(), NO_HEADER)
+        .when(other, OTHER_JOB)
         .when(~F.coalesce(wanted, F.lit(False)), UNKNOWN_TYPE)
         .when(~operation, UNKNOWN_OPERATION)
         .when(~supported_version(), UNKNOWN_VERSION)

@@ -23,12 +23,17 @@ def decode_base64(value: Column, layers: int = 2) -> Column:
 
 def decode_messages(df: DataFrame, value: str = "value", layers: int = 2) -> DataFrame:
     """Add the typed header columns and ``data``; drop messages without a routing header."""
+    return has_routing_header(opened_messages(df, value, layers))
+
+
+def opened_messages(df: DataFrame, value: str = "value", layers: int = 2) -> DataFrame:
+    """Add the typed header columns and ``data``, all empty where a message cannot be read."""
     envelope = F.from_json(decode_base64(F.col(value), layers), f"headers {HEADER_DDL}, data string")
     kept = [c for c in df.columns if c != value]
     opened = df.select(*kept, envelope.alias("_m")).select(
         *kept, F.col("_m.headers").alias("_h"), F.col("_m.data").alias("data")
     )
-    return has_routing_header(typed_header(opened, "_h"))
+    return typed_header(opened, "_h")
 
 
 def group_order(messages: DataFrame, order: list[str]) -> DataFrame:

@@ -32,7 +32,7 @@ class Feed:
 
     def config(self, name="job", **more):
         return FeedConfig(
-            str(self.root / "in"), str(self.root / "tables"), str(self.root / f"progress-{name}"), buckets=4,
+            str(self.root / "in"), str(self.root / "tables"), str(self.root / f"progress-{name}"),
             on_report=self.reports.append, **more
         )
 
@@ -40,7 +40,7 @@ class Feed:
         run(spark, name, self.config(name, **more)).awaitTermination()
 
     def state(self, spark, entity=ROLE):
-        return StateTable(spark, str(self.root / "tables"), entity, 4).read()
+        return StateTable(spark, str(self.root / "tables"), entity).read()
 
 
 def test_files_to_state_with_snapshot(spark, tmp_path):
@@ -112,7 +112,7 @@ def test_every_event_is_loaded_rejected_or_skipped(spark, tmp_path):
         ("ROLE", role, "CREATE", "9.0"), ("AUDIT_EVENTS", role), ("ROLE", {"id": "b", "createdOn": 1.5}),
     )
     for _ in range(2):
-        report = load_state(spark, events, str(tmp_path), "manual", 7, buckets=2)
+        report = load_state(spark, events, str(tmp_path), "manual", 7)
     assert report.skipped == {
         "no JSON object": 1, "unknown type": 1, "unsupported operation": 1, "unsupported version": 1, "type of another job": 1
     }
@@ -139,6 +139,9 @@ def test_messages_and_audit(spark, tmp_path):
         "not a message",
     ]))
     feed.run(spark, "stream", max_files=1)
+    assert feed.reports[0].skipped == {"no readable header": 1, "type of another job": 1}
+    kept = RejectTable(spark, str(tmp_path / "tables")).read().collect()
+    assert [(r["entity"], r["reason"], r["content"]) for r in kept] == [(None, "no readable header", "not a message")]
     feed.file("m2", message(header(group.name, "DELETE"), {"id": "g", "remove": {"members": [{"globalIdentityId": "y"}]}}))
     feed.run(spark, "stream", max_files=1)
     # A delete without a member deletes the group, and the flattened delete has a row without one.

@@ -9,7 +9,6 @@ from grantlake.operators import rejects as rej
 from grantlake.operators import snapshot as snap
 from grantlake.operators.flatten import flatten
 from grantlake.sinks.tables import HistoryTable, LedgerTable, StateTable, create_tables
-from grantlake.sinks.versions import Version
 from tests.events import decoded
 
 ROLE = ENTITIES["ROLE"]
@@ -19,39 +18,122 @@ def roles(spark, *ids, operation="CREATE"):
     return flatten(decoded(spark, *[("ROLE", {"id": i}, operation) for i in ids]), "ROLE")
 
 
-def test_state_table_rewrites_only_touched_buckets(spark, tmp_path):
-    state = StateTable(spark, str(tmp_path), ROLE, buckets=16)
+def files(folder):
+    return sorted(p for p in folder.rglob("*.parquet"))
+
+
+def test_loads_append_and_a_compaction_rewrites(spark, tmp_path):
+    state = StateTable(spark, str(tmp_path), ROLE)
     state.create()
     assert state.read().count() == 0
     state.load(roles(spark, *[f"r{i}" for i in range(40)]))
-    before = state.log.latest().paths
+    first = files(tmp_path / "ROLE_STATE" / "changes")
     state.load(roles(spark, "r1", operation="DELETE"))
-    after = state.log.latest().paths
-    assert sum(before[b] != after.get(b) for b in before) == 1
+    # The second load leaves the first one's files alone and writes one row.
+    second = [f for f in files(tmp_path / "ROLE_STATE" / "changes") if f not in first]
+    assert set(first) < set(files(tmp_path / "ROLE_STATE" / "changes"))
+    assert spark.read.parquet(*map(str, second)).count() == 1
     assert state.read().count() == 39
     state.load(roles(spark, "new"), "feed", 3)
-    assert StateTable(spark, str(tmp_path), ROLE, buckets=3).buckets == 16
     assert not state.load(roles(spark, "new", operation="DELETE"), "feed", 3)
-    assert state.read().filter("id = 'new'").count() == 1
+    rows = sorted(r["id"] for r in state.read().collect())
+    assert "new" in rows and len(rows) == 40
+    assert state.compact() and not state.compact()
+    assert [x.kind for x in state.loads.read()] == ["applied", "base"] or [x.kind for x in state.loads.read()] == ["base", "applied"]
+    assert sorted(r["id"] for r in state.read().collect()) == rows
+    assert state.applied("feed", 3) and not state.applied("feed", 4)
+    # What the first compaction replaced goes with the next one.
+    assert files(tmp_path / "ROLE_STATE" / "changes")
+    state.load(roles(spark, "new", operation="DELETE"), "feed", 4)
+    assert state.compact() and state.read().count() == 39
+    assert not first[0].exists()
+
+
+def test_a_load_that_was_not_published_is_not_seen(spark, tmp_path):
+    state = StateTable(spark, str(tmp_path), ROLE)
+    state.load(roles(spark, "a"), "feed", 0)
+    state._net(roles(spark, "b")).write.parquet(f"{state.path}/changes/load=2/attempt=lost")
+    assert [r["id"] for r in state.read().collect()] == ["a"]
+    state.load(roles(spark, "b"), "feed", 1)
+    assert sorted(r["id"] for r in state.read().collect()) == ["a", "b"]
+    undated = roles(spark, "c").withColumn("event_timestamp", F.lit(None).cast("timestamp"))
+    with pytest.raises(Exception, match="needs an event time"):
+        state.load(undated)
+
+
+def scanned(frame):
+    """Files that the scans of a plan opened."""
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    frame.explain("formatted")
+    found, todo = 0, [frame._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+            continue
+        if node.getClass().getSimpleName() in ("ShuffleQueryStageExec", "BroadcastQueryStageExec", "TableCacheQueryStageExec"):
+            todo.append(node.plan())
+            continue
+        if node.getClass().getSimpleName() == "FileSourceScanExec":
+            found += node.metrics().apply("numFiles").value()
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return found, plan
+
+
+def test_readers_of_one_tenant_or_key_open_a_fraction_of_the_files(spark, tmp_path):
+    state = StateTable(spark, str(tmp_path), ROLE, part_rows=2)
+    events = [("ROLE", {"id": f"r{i}"}) for i in range(400)]
+    rows = flatten(decoded(spark, *events), "ROLE").withColumn("tenancy_id", F.concat(F.lit("t"), F.substring("id", 2, 1)))
+    state.load(rows)
+    state.compact()
+    everything, _ = scanned(state.read())
+    assert everything >= 60
+    tenant, plan = scanned(state.read(tenancy_id="t3"))
+    assert "PartitionFilters: [isnotnull(_tenant" in plan and "EqualTo(tenancy_id,t3)" in plan
+    key, _ = scanned(state.read(id="r33"))
+    both, _ = scanned(state.read(tenancy_id="t3", id="r33"))
+    assert 0 < tenant < everything / 2 and 0 < key < everything / 4 and both == 1
+    assert {r["id"] for r in state.read(tenancy_id="t3").collect()} == {r["id"] for r in state.read().filter("tenancy_id = 't3'").collect()}
+    state.load(roles(spark, "r33", operation="DELETE").withColumn("tenancy_id", F.lit("t3")))
+    assert state.read(id="r33").count() == 0 and state.read(tenancy_id="t3").count() == 110
+    with pytest.raises(ValueError, match="no key column of ROLE: name"):
+        state.read(name="x")
+
+
+def test_a_removal_of_stale_rows_concerns_earlier_loads(spark, tmp_path):
+    state = StateTable(spark, str(tmp_path), ROLE)
+    state.load(roles(spark, "a", "b"))
+    state.compact()
+    state.load(roles(spark, "c"))
+    cutoff = spark.createDataFrame([("T", "S", dt.datetime(2026, 1, 1))], "scope_tenancy string, scope_service string, cutoff timestamp")
+    state.remove_stale(cutoff)
+    assert state.read().count() == 0
+    state.load(roles(spark, "c", "d"))
+    assert sorted(r["id"] for r in state.read().collect()) == ["c", "d"]
+    state.compact()
+    assert sorted(r["id"] for r in state.read().collect()) == ["c", "d"]
 
 
-def test_an_emptied_bucket_disappears(spark, tmp_path):
-    state = StateTable(spark, str(tmp_path), ROLE, buckets=4)
-    state.load(roles(spark, "a"))
-    state.load(roles(spark, "a", operation="DELETE"))
-    assert state.read().count() == 0 and state.log.latest().paths == {}
-
-
-def test_versions_conflict_and_vacuum(spark, tmp_path):
-    state = StateTable(spark, str(tmp_path), ROLE, buckets=2)
-    for name in ("a", "b", "c"):
-        state.load(roles(spark, name))
-    with pytest.raises(RuntimeError):
-        state.log.commit(Version(state.log.latest().number))
-    rows = state.read().count()
-    state.log.vacuum(keep=1)
-    assert state.read().count() == rows == 3
-    assert len(state.log.numbers()) == 1
+def test_history_files_do_not_grow_with_loads(spark, tmp_path):
+    history = HistoryTable(spark, str(tmp_path), ROLE)
+    days = 3
+    for load in range(20):
+        rows = roles(spark, *[f"r{load}-{i}" for i in range(30)]).repartition(6)
+        rows = rows.withColumn("event_timestamp", F.expr(f"timestamp'2025-01-01 00:00:00' + make_dt_interval(pmod(hash(id), {days}))"))
+        history.append(rows, f"feed-{load}")
+        if load % 5 == 4:
+            history.compact()
+    dates = {}
+    for load in history.loads.read():
+        if load.kind == "rows":
+            for f in files(tmp_path / "ROLE_TS" / "rows" / load.folder):
+                dates[f.parent.name] = dates.get(f.parent.name, 0) + 1
+    assert len(dates) == days and max(dates.values()) <= 2
+    assert history.read().count() == 600
+    history.append(roles(spark, "again"), "feed-3")
+    assert history.read().count() == 600 and history.read().select("id").distinct().count() == 600
 
 
 def test_create_and_recreate(spark, tmp_path):
