@@ -14,10 +14,11 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 
@@ -29,6 +30,9 @@ REMEMBERED = 60_000
 _UNITS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _NONE = np.iinfo(np.int64).max
 _WIDE = 1 << 21
+_POINTS = 0x110000
+#: Bytes of text whose units are encoded together.
+_SLICE = 1 << 20
 
 
 @dataclass
@@ -48,6 +52,13 @@ class Vocabulary:
     early: np.ndarray
     bigrams: set[tuple[int, int]]
 
+    @cached_property
+    def odd(self) -> np.ndarray:
+        """The ids that don't spell themselves."""
+        out = (self.byte_of >= 0) | self.control
+        out[self.unknown] = True
+        return out
+
 
 @lru_cache(maxsize=4)
 def vocabulary(model: bytes) -> Vocabulary:
@@ -95,32 +106,52 @@ def _ranks(v: Vocabulary, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return np.where(v.pair_keys[at] == key, at, _NONE)
 
 
-def encode_units(v: Vocabulary, units: list[str]) -> list[np.ndarray]:
-    """The ids of each unit."""
+def _distinct(values: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, all below ``limit``, and which of them each one is."""
+    if limit > _POINTS:
+        return np.unique(values, return_inverse=True)
+    slot = np.zeros(limit, np.int64)
+    slot[values] = 1
+    known = np.flatnonzero(slot)
+    slot[known] = np.arange(len(known))
+    return known, slot[values]
+
+
+def encode_units(v: Vocabulary, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all units one after another, and where each unit's begin and the last end."""
     if not units:
-        return []
+        return np.zeros(0, np.int64), np.zeros(1, np.int64)
     flat = "".join(units)
     lengths = np.array([len(u) for u in units], np.int64)
     code = np.frombuffer(flat.encode("utf-32-le", "surrogatepass"), np.uint32)
-    kinds, back = np.unique(code, return_inverse=True)
-    table = np.array([v.symbols.get(chr(k), -1) for k in kinds], np.int64)
-    unknown = v.size + len(v.symbols)
-    symbols = np.where(table < 0, unknown, table)[back] if len(code) else np.zeros(0, np.int64)
+    present = np.zeros(_POINTS, bool)
+    present[code] = True
+    kinds = np.flatnonzero(present)
+    number = np.zeros(_POINTS, np.int64)
+    number[kinds] = np.arange(len(kinds))
+    back = number[code]
+    table = np.array([v.symbols.get(chr(k), v.size + len(v.symbols)) for k in kinds], np.int64)
+    symbols = table[back] if len(code) else np.zeros(0, np.int64)
     unit = np.repeat(np.arange(len(units)), lengths)
     # Neighbours that no piece holds side by side are never merged, so a long unit falls into short ones here.
-    near = symbols[:-1] * _WIDE + symbols[1:]
-    known, where = np.unique(near, return_inverse=True)
-    joins = np.array([(int(k) // _WIDE, int(k) % _WIDE) in v.bigrams for k in known], bool)
+    near = back[:-1] * len(kinds) + back[1:]
+    known, where = _distinct(near, len(kinds) ** 2)
+    joins = np.array([(int(table[k // len(kinds)]), int(table[k % len(kinds)])) in v.bigrams for k in known], bool)
     cut = np.ones(len(symbols), bool)
     if len(symbols) > 1:
         cut[1:] = ~joins[where] | (unit[1:] != unit[:-1])
     place, word = np.arange(len(symbols)), np.cumsum(cut)
     done_place, done_symbol = [], []
+    pair, rank = np.full(len(symbols), _NONE), np.full(len(symbols), _NONE)
+    anew = np.arange(len(symbols) - 1)
     while len(symbols):
-        pair = np.full(len(symbols), _NONE)
-        same = np.flatnonzero(word[1:] == word[:-1])
+        # Only pairs beside a merge are looked up again.
+        pair[anew] = rank[anew] = _NONE
+        same = anew[anew < len(symbols) - 1]
+        same = same[word[same + 1] == word[same]]
         pair[same] = _ranks(v, symbols[same], symbols[same + 1])
-        rank = np.where(pair < _NONE, v.pair_ranks[np.minimum(pair, len(v.pair_ranks) - 1)], _NONE)
+        same = same[pair[same] < _NONE]
+        rank[same] = v.pair_ranks[pair[same]]
         first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
         count = np.diff(np.append(first, len(symbols)))
         least = np.minimum.reduceat(rank, first)
@@ -140,7 +171,10 @@ def encode_units(v: Vocabulary, units: list[str]) -> list[np.ndarray]:
         at, result = at[take], result[take]
         symbols[at] = result
         live[at + 1] = False
-        symbols, place, word = symbols[live], place[live], word[live]
+        near = np.zeros(len(symbols), bool)
+        near[at] = near[np.maximum(at - 1, 0)] = True
+        symbols, place, word, pair, rank, near = symbols[live], place[live], word[live], pair[live], rank[live], near[live]
+        anew = np.flatnonzero(near)
     place = np.concatenate(done_place) if done_place else np.zeros(0, np.int64)
     symbols = np.concatenate(done_symbol) if done_symbol else np.zeros(0, np.int64)
     order = np.argsort(place, kind="stable")
@@ -156,13 +190,11 @@ def encode_units(v: Vocabulary, units: list[str]) -> list[np.ndarray]:
         ids[np.repeat(begin[odd], sizes[odd]) + np.concatenate([np.arange(len(s)) for s in spelled])] = np.concatenate(spelled)
         place = np.repeat(place, sizes)
         symbols = ids
-    ends = np.searchsorted(place, np.cumsum(lengths))
-    return np.split(symbols, ends[:-1])
+    return symbols, np.searchsorted(place, np.concatenate([[0], np.cumsum(lengths)]))
 
 
 def encode(v: Vocabulary, text: str) -> list[int]:
-    units = units_of(text)
-    return [int(i) for ids in encode_units(v, units) for i in ids] if units else []
+    return encode_units(v, units_of(text))[0].tolist()
 
 
 def _spelled(v: Vocabulary, ids: list[int]) -> str:
@@ -205,17 +237,20 @@ def encoded(documents: DataFrame, model: bytes, kept: list[str], columns: str, r
         v = vocabulary(sent.value)
         number: dict[str, int] = {}
         count, ids, spelled = [], [], []
-        for batch in c.slices(batches):
+        for batch in c.slices(batches, most=_SLICE):
             cut = [units_of(t or "") for t in batch.column("text").to_pylist()]
             if len(number) > REMEMBERED:
                 number, count, ids, spelled = {}, [], [], []
             new = list({u for units in cut for u in units if u not in number})
-            for u, found in zip(new, encode_units(v, new), strict=True):
-                found = found.tolist()
-                number[u] = len(count)
-                count.append(len(found))
-                ids.append(",".join(map(str, found)))
-                spelled.append(_spelled(v, found).replace(SPACE, " "))
+            number.update(zip(new, range(len(count), len(count) + len(new)), strict=True))
+            found, cuts = encode_units(v, new)
+            texts = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(found).cast(pa.string()))
+            count += np.diff(cuts).tolist()
+            ids += pc.binary_join(texts, ",").to_pylist()
+            # Pieces that are neither bytes nor marks spell what they were made of.
+            for k in np.flatnonzero(c.reduced(v.odd[found].astype(np.int64), cuts)):
+                new[k] = _spelled(v, found[cuts[k] : cuts[k + 1]].tolist())
+            spelled += [u.replace(SPACE, " ") for u in new]
             out = []
             for units in cut:
                 at = [number[u] for u in units]
