@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from grantlake.llm import near_duplicates, pii_patterns, positional_index, toxicity
 from grantlake.llm.common import table
 from grantlake.llm.queries import token_digests
-from grantlake.session import scratch_path
+from grantlake.session import remove_path, scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -55,9 +55,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    rows = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = scratch_path(spark, name)
         stage(spark, rows, sf_dir).write.parquet(path)
         rows = spark.read.parquet(path)
+        if before:
+            remove_path(spark, before)
+        before = path
     return rows

@@ -6,7 +6,8 @@ bytes and cutting characters give the same words.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -14,8 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from grantlake.session import scratch_path
-from grantlake.sinks.versions import VersionLog
+from grantlake.session import remove_path, scratch_path
 
 #: Bytes of text handled at once in a task; a longer text is handled alone.
 SLICE_BYTES = 1 << 19
@@ -27,19 +27,45 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_scopes: list[dict[int, tuple[DataFrame, str]]] = [{}]
+
+
 def staged(df: DataFrame, name: str, *by: str) -> DataFrame:
     """The rows, written to the shared folder and read back: computed once, safe from lost executors."""
     path = scratch_path(df.sparkSession, name)
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(*by) if by else writer).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    if len(_scopes) > 1:
+        _scopes[-1][id(out)] = (out, path)
+    return out
 
 
 def released(*frames: DataFrame) -> None:
-    """Deletes the files of staged tables that nothing reads any more."""
+    """Deletes the files of tables staged in this scope that nothing reads any more."""
     for df in frames:
-        for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
-            VersionLog(df.sparkSession, path).drop()
+        _, path = _scopes[-1].pop(id(df), (None, None))
+        if path:
+            remove_path(df.sparkSession, path)
+
+
+@contextmanager
+def scratch() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A scope whose staged tables go when it is left, but for those given to the function it yields, which the scope around takes on."""
+    kept: set[int] = set()
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.add(id(df))
+        return df
+
+    _scopes.append({})
+    try:
+        yield keep
+    finally:
+        released(*[df for df, _ in list(_scopes[-1].values()) if id(df) not in kept])
+        left = _scopes.pop()
+        if len(_scopes) > 1:
+            _scopes[-1].update(left)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -11,9 +11,9 @@ components go through an exact prefix filter: whatever order shingles have, two
 first quarter of theirs. With common shingles last, a passage that many documents share pairs nobody. So a smallest
 class that resembles only some of the others hides no link. At a similarity of 0.75 a pair shares no bucket with a probability of 4e-6.
 
-Null and empty texts have no shingles and are linked with nothing. Rows that share a doc_id are one document for
-linking. A row without doc_id is compared but names no component: its component is that of its class, or null if no row of
-the class has an id, and it is kept then. Other columns of the input are ignored.
+Null and empty texts have no shingles and are linked with nothing. Each row is a document; several may share a doc_id. A
+row without doc_id is compared, and links run through it, but it names no component: the component is null if none of its
+rows has an id, and they are kept then. Other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grantlake.llm import common as c
@@ -87,8 +87,8 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             second.append(b)
             buckets.append(bands_of(shingles) if len(shingles) else None)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()), pa.array(buckets, pa.list_(pa.int64()))],
-            ["doc_id", "n", "d1", "d2", "buckets"],
+            [batch.column("doc_id"), batch.column("text_hash"), *(pa.array(x, pa.int64()) for x in (sizes, first, second)), pa.array(buckets, pa.list_(pa.int64()))],
+            ["doc_id", "text_hash", "n", "d1", "d2", "buckets"],
         )
 
 
@@ -97,8 +97,8 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = list(shingle_sets(batch.column("text")))
         pairs = [digest(x) for x in found]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array([a for a, _ in pairs], pa.int64()), pa.array([b for _, b in pairs], pa.int64()), pa.array([x.tobytes() for x in found], pa.binary())],
-            ["doc_id", "d1", "d2", "shingles"],
+            [pa.array([a for a, _ in pairs], pa.int64()), pa.array([b for _, b in pairs], pa.int64()), pa.array([x.tobytes() for x in found], pa.binary())],
+            ["d1", "d2", "shingles"],
         )
 
 
@@ -195,9 +195,10 @@ def _among_rare(classes: DataFrame, tested: DataFrame) -> DataFrame:
                 ["shingle", "rep", "n", "component"],
             )
 
-    rows = c.staged(classes.mapInArrow(prefixes, "shingle long, rep long, n long, component long"), "prefixes")
-    several = rows.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
-    rows = c.staged(rows.join(several.filter("low < high").select("shingle", "size"), "shingle"), "prefixes")
+    every = c.staged(classes.mapInArrow(prefixes, "shingle long, rep long, n long, component long"), "prefixes")
+    several = every.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
+    rows = c.staged(every.join(several.filter("low < high").select("shingle", "size"), "shingle"), "prefixes")
+    c.released(every)
 
     few = rows.filter(F.col("size") <= SMALL)
     other = few.select("shingle", F.col("rep").alias("b"), F.col("n").alias("bn"), F.col("component").alias("bc"))
@@ -272,24 +273,55 @@ def _pairs(held: list[pa.RecordBatch]) -> pa.RecordBatch:
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """Per row: doc_id, n_shingles, class_id (smallest doc_id with the same set), component_id, kept."""
-    rows = documents.select(F.col("doc_id").cast("long"), "text")
-    sketches = c.staged(rows.mapInArrow(_sketch, "doc_id long, n long, d1 long, d2 long, buckets array<long>"), "sketches")
-    classes = (
-        sketches.filter("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("buckets").alias("buckets"))
-    )
-    classes = c.staged(classes.filter("rep is not null"), "classes")
-    member = classes.select("rep", "n", F.explode("buckets").alias("bucket"))
-    stars = member.groupBy("bucket").agg(F.min_by(F.struct("rep", "n"), "rep").alias("least"), F.count("*").alias("size")).filter("size > 1")
-    stars = c.staged(stars.select("bucket", F.col("least.rep").alias("a"), F.col("least.n").alias("an")), "stars")
-    shared = c.staged(member.join(stars, "bucket"), "shared")
+    out = _grouped(documents)
+    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return out.select(
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
+        component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"),
+    )
 
+
+def _grouped(documents: DataFrame) -> DataFrame:
+    """Per row: doc_id, text_hash, n, and of rows with shingles class_id, component_id and component, a number that is never null."""
+    rows = documents.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
+    with c.scratch() as keep:
+        sketches = c.staged(rows.mapInArrow(_sketch, "doc_id long, text_hash long, n long, d1 long, d2 long, buckets array<long>"), "sketches")
+        # Classes have numbers of their own, as a class may have no doc_id, and one doc_id several texts.
+        classes = sketches.filter("n > 0").groupBy("d1", "d2").agg(
+            F.min("doc_id").alias("class_id"), F.min(_row()).alias("row"), F.first("n").alias("n"), F.first("buckets").alias("buckets")
+        )
+        classes = c.staged(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
+        read = keep(c.staged(sketches.drop("buckets"), "read"))
+        c.released(sketches)
+        names = keep(c.staged(classes.drop("buckets", "n"), "names"))
+        member = classes.select("rep", "n", F.explode("buckets").alias("bucket"))
+        stars = member.groupBy("bucket").agg(F.min_by(F.struct("rep", "n"), "rep").alias("least"), F.count("*").alias("size")).filter("size > 1")
+        stars = c.staged(stars.select("bucket", F.col("least.rep").alias("a"), F.col("least.n").alias("an")), "stars")
+        shared = c.staged(member.join(stars, "bucket"), "shared")
+        c.released(classes, stars)
+        joined = keep(c.staged(_joined(rows, shared, names), "components"))
+    # A component is named by its smallest doc_id; only classes that are linked need to be asked.
+    linked = names.join(joined.withColumnRenamed("v", "rep"), "rep")
+    least = linked.groupBy("component").agg(F.min("class_id").alias("component_id"))
+    alone = names.join(joined.select(F.col("v").alias("rep")), "rep", "left_anti").select("*", F.col("rep").alias("component"), F.col("class_id").alias("component_id"))
+    ids = linked.join(least, "component").unionByName(alone).select("d1", "d2", "class_id", "component", "component_id")
+    return read.join(ids, ["d1", "d2"], "left")
+
+
+def _row() -> Column:
+    """Tells rows apart, but for repeats and for chance."""
+    return F.xxhash64("doc_id", "text_hash")
+
+
+def _joined(rows: DataFrame, shared: DataFrame, names: DataFrame) -> DataFrame:
+    """For each class that is linked with another its component: v, component, both numbers of classes."""
     close = 100 * F.least("an", "n") >= PERCENT * F.greatest("an", "n")
     stars = shared.filter((F.col("a") != F.col("rep")) & close).select("a", F.col("rep").alias("b"))
     first = c.staged(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs")
-    wanted = shared.select("rep").distinct().join(classes.select("rep", "d1", "d2"), "rep")
-    sets = rows.join(wanted.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, d1 long, d2 long, shingles binary")
-    sets = sets.groupBy("doc_id", "d1", "d2").agg(F.first("shingles").alias("shingles")).withColumnRenamed("doc_id", "rep")
-    sets = c.staged(sets.join(wanted, ["rep", "d1", "d2"], "left_semi").select("rep", "shingles"), "sets")
+    wanted = shared.select("rep").distinct().join(names.select("rep", "d1", "d2", "row"), "rep")
+    sets = rows.withColumn("row", _row()).join(wanted.select("row"), "row", "left_semi").select("text").mapInArrow(_sets, "d1 long, d2 long, shingles binary")
+    sets = sets.groupBy("d1", "d2").agg(F.first("shingles").alias("shingles"))
+    sets = c.staged(sets.join(wanted, ["d1", "d2"]).select("rep", "shingles"), "sets")
     edges = c.staged(confirmed(first, sets), "links")
     joined = components(edges)
 
@@ -299,33 +331,43 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         "ra = a and rep <> a and component <> ac"
     )
     second = second.filter(close).select("a", F.col("rep").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    more = c.staged(confirmed(c.staged(second, "pairs"), sets), "links")
+    second = c.staged(second, "pairs")
+    c.released(label)
+    more = c.staged(confirmed(second, sets), "links")
+    c.released(second)
     if more.limit(1).count():
         edges = edges.unionByName(more)
         joined = components(edges)
 
-    left = _open(shared, joined).select("rep", "n", "component").distinct()
-    more = c.staged(_among_rare(c.staged(left.join(sets, "rep"), "open"), first), "links")
-    if more.limit(1).count():
-        joined = components(edges.unionByName(more))
-    joined = c.staged(joined, "components")
-    ids = classes.select("d1", "d2", F.col("rep").alias("class_id")).join(joined.withColumnRenamed("v", "class_id"), "class_id", "left")
-    ids = ids.select("d1", "d2", "class_id", F.coalesce("component", "class_id").alias("component_id"))
-    out = sketches.select("doc_id", F.col("n").alias("n_shingles"), "d1", "d2").join(ids, ["d1", "d2"], "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
-        component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"),
-    )
+    label = _open(shared, joined)
+    left = c.staged(label.select("rep", "n", "component").distinct().join(sets, "rep"), "open")
+    c.released(label, shared, sets)
+    more = c.staged(_among_rare(left, first), "links")
+    return components(edges.unionByName(more)) if more.limit(1).count() else joined
 
 
 def deduplicated(documents: DataFrame) -> DataFrame:
-    """``documents`` with one row of each component, all columns kept; a row without doc_id goes by a hash of its text."""
-    key = c.fresh(documents, "kept_id")
-    keyed = documents.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")))
-    found = c.staged(near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text")).filter("kept").select(F.col("doc_id").alias(key)), "kept")
-    repeated = c.staged(found.groupBy(key).count().filter("count > 1").select(key), "repeated")
-    rows = keyed.join(found.distinct(), key, "left_semi")
-    if repeated.limit(1).count():
-        rows = rows.join(repeated, key, "left_anti").unionByName(rows.join(repeated, key, "left_semi").dropDuplicates([key]))
-    return rows.select(*documents.columns)
+    """``documents`` with one row of each component, all columns kept: that of the smallest doc_id, one without an id last.
+
+    Rows are known by doc_id and a hash of their text, so other rows of that doc_id are judged by themselves. Of rows that repeat
+    both, one stays. Rows without shingles all stay.
+    """
+    with c.scratch() as keep:
+        rows = c.staged(_grouped(documents).select("doc_id", "text_hash", "n", "component"), "judged")
+        first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")).alias("first")
+        stay = rows.filter("n > 0").groupBy("component").agg(first).select("first.doc_id", "first.text_hash")
+        counts = rows.groupBy("doc_id", "text_hash").agg(F.count("*").alias("many"), F.max("n").alias("n"))
+        gone = counts.filter("n > 0").join(stay, counts["doc_id"].eqNullSafe(stay["doc_id"]) & (counts["text_hash"] == stay["text_hash"]), "left_anti")
+        gone = keep(c.staged(gone.select("doc_id", "text_hash"), "gone"))
+        again = keep(c.staged(counts.filter("n > 0 and many > 1").select("doc_id", "text_hash"), "repeated"))
+    id, hash = c.fresh(documents, "own_id"), c.fresh(documents, "own_hash")
+    keyed = documents.withColumns({id: F.col("doc_id").cast("long"), hash: F.xxhash64("text")})
+
+    def among(other: DataFrame) -> Column:
+        return keyed[id].eqNullSafe(other["doc_id"]) & (keyed[hash] == other["text_hash"])
+
+    kept = keyed.join(gone, among(gone), "left_anti")
+    if not again.isEmpty():
+        once = kept.join(again, among(again), "left_semi").dropDuplicates([id, hash])
+        kept = kept.join(again, among(again), "left_anti").unionByName(once)
+    return kept.select(*documents.columns)

@@ -286,9 +286,10 @@ def judged(index: Index, found: DataFrame) -> DataFrame:
 
 
 def decontaminated(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """``documents`` without contaminated ones, all columns kept; a row without doc_id goes by a hash of its text."""
-    key = c.fresh(documents, "known_id")
-    keyed = documents.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")))
-    found = contamination(keyed.select(F.col(key).alias("doc_id"), "text"), items).filter("contaminated")
-    found = c.staged(found.select(F.col("doc_id").alias(key)).distinct(), "contaminated")
+    """``documents`` without contaminated ones, all columns kept; each row is judged by itself, known by a hash of doc_id and text."""
+    key = c.fresh(documents, "own_hash")
+    keyed = documents.withColumn(key, F.xxhash64(F.col("doc_id").cast("long"), "text"))
+    with c.scratch() as keep:
+        found = contamination(keyed.select(F.col(key).alias("doc_id"), "text"), items).filter("contaminated")
+        found = keep(c.staged(found.select(F.col("doc_id").alias(key)).distinct(), "contaminated"))
     return keyed.join(found, key, "left_anti").select(*documents.columns)
