@@ -10,7 +10,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 # One or two queries per area: upserts, whole loads, conditional deletes, membership,
-# flattening with and without children, scoring, masking, decoding, snapshots, rejects.
+# flattening with and without children, scoring, masking, decoding, snapshots, rejects, tables.
 HEADLINE = (
     "state_latest",
     "state_merge_base",
@@ -29,6 +29,9 @@ HEADLINE = (
     "stale_rows",
     "snapshot_complete",
     "rejects_split",
+    "state_table_loads",
+    "state_reads_by_tenant",
+    "history_append",
 )
 
 
