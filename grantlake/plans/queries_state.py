@@ -427,8 +427,8 @@ def assignment_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = apply_changes(spark.createDataFrame([], entity.schema), held.unionByName(whole), entity)
     by_supplier = state.withColumns(
         {
-            "target_identity_id": F.concat(F.lit("s"), F.split("assignment_id", "-")[3]),
-            "permission_id": F.split("assignment_id", "-")[2],
+            "target_identity_id": F.concat(F.lit("s"), F.get(F.split("assignment_id", "-"), F.lit(3))),
+            "permission_id": F.get(F.split("assignment_id", "-"), F.lit(2)),
         }
     )
     single = rows(
