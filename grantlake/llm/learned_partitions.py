@@ -7,7 +7,8 @@ the sample tell how many parts to ask: few where vectors cluster, most where the
 
 Parts are dealt in blocks of rows and of queries, so a part may hold any share of the table. A query asks more parts while
 those it has hold fewer rows than it wants. Rows whose vector is null, zero, of another length than most, or holds null or
-non-finite values take no part, nor do rows without vec_id; rows that share a vec_id count once (the smallest vector).
+non-finite values take no part, nor do rows without vec_id. Rows that share a vec_id are one candidate and one query with several
+vectors: the largest product of any two counts. A product that overflows is infinite, one without a value the smallest.
 Equal scores are ranked by vec_id. Other columns of the input are ignored; an empty table gives no rows.
 """
 
@@ -142,16 +143,25 @@ def _stacked(column: pa.Array, width: int) -> np.ndarray:
 def _best(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, rows: np.ndarray, top: int) -> pd.DataFrame:
     """The ``top`` best rows of each query but itself."""
     out = []
+    # Where rows share a vec_id, more rows than ``top`` are needed for as many of them.
+    last = max(0, len(ids) - top - (len(ids) - len(np.unique(ids))))
     for begin in range(0, len(q), 128):
-        near = q[begin : begin + 128] @ rows.T
-        near[q_ids[begin : begin + 128, None] == ids] = -np.inf
-        least = np.partition(near, max(0, len(ids) - top), axis=1)[:, max(0, len(ids) - top)]
+        # A product may overflow; where infinities cancel out, it counts as the smallest.
+        with np.errstate(over="ignore", invalid="ignore"):
+            near = np.nan_to_num(q[begin : begin + 128] @ rows.T, nan=-np.inf, posinf=np.inf, neginf=-np.inf)
+        own = q_ids[begin : begin + 128, None] == ids
+        near[own] = -np.inf
+        least = np.partition(near, last, axis=1)[:, last]
         for k, line in enumerate(near):
             # A little below the last, so that rounding of the product decides no tie.
-            bound = least[k] - 1e-9 * (abs(least[k]) + 1) if np.isfinite(least[k]) else -np.inf
-            at = np.flatnonzero((line >= bound) & np.isfinite(line))
-            score = (rows[at] * q[begin + k]).sum(axis=1)
-            order = np.lexsort((ids[at], -score))[:top]
+            bound = least[k] - 1e-9 * (abs(least[k]) + 1) if np.isfinite(least[k]) else least[k]
+            at = np.flatnonzero((line >= bound) & ~own[k])
+            with np.errstate(over="ignore", invalid="ignore"):
+                score = np.nan_to_num((rows[at] * q[begin + k]).sum(axis=1), nan=-np.inf, posinf=np.inf, neginf=-np.inf)
+            order = np.lexsort((ids[at], -score))
+            # Of several vectors of one vec_id the nearest counts.
+            _, once = np.unique(ids[at][order], return_index=True)
+            order = order[np.sort(once)][:top]
             out.append((np.full(len(order), q_ids[begin + k]), ids[at][order], score[order]))
     columns = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [[], [], []]
     return pd.DataFrame({"query_id": columns[0], "vec_id": columns[1], "score": columns[2]})
@@ -164,7 +174,7 @@ def neighbours(embeddings: DataFrame, every: int = 20, top: int = 20, asked: int
     """
     spark = embeddings.sparkSession
     rows = embeddings.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>")).mapInArrow(_valid, "vec_id long, vector binary")
-    rows = c.staged(rows.groupBy("vec_id").agg(F.min("vector").alias("vector")), "vectors")
+    rows = c.staged(rows.distinct(), "vectors")
     sample = [bytes(r["vector"]) for r in c.hashed_sample(rows, "vec_id", FIT_ROWS).select("vector").toLocalIterator()]
     if not sample:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -219,7 +229,8 @@ def neighbours(embeddings: DataFrame, every: int = 20, top: int = 20, asked: int
 
     left = left.withColumn("block", F.col("block").cast("int")).groupBy(*place)
     found = left.cogroup(right.groupBy(*place)).applyInPandas(ranked, "query_id long, vec_id long, score double")
-    # A query has top rows for each part and block it asked.
+    # A query has top rows for each part and block it asked; of several vectors of a vec_id the nearest counts.
+    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     return found.selectExpr(
         "query_id", "cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank", "vec_id", "score"
     ).filter(F.col("rank") <= top)

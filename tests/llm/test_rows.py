@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from grantlake.llm import near_duplicates, positional_index, queries
+from grantlake.llm import learned_partitions, near_duplicates, positional_index, queries
 
 LOWER = {c: c + 32 for c in range(65, 91)}
 
@@ -218,3 +218,16 @@ def test_stages_pii_and_sentencepiece(spark, stages):
 
 def test_run_equals_its_stages(spark, sf_dir, stages):
     assert Counter(map(tuple, corpus_pipeline.run(spark, sf_dir).collect())) == Counter(map(tuple, stages["sentencepiece"][1]))
+
+
+def test_vectors_of_one_id_and_products_that_overflow(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 2.0]), (1, [9.0, 0.0]), (1, [2.0, 0.0]), (1, [9.0, 0.0]), (2, [0.0, 5.0]), (3, [1e308, 1e308]), (20, [1e308, 1e308]), (4, [-1.0, -1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in learned_partitions.neighbours(df, asked=32).collect())
+    want = Counter()
+    with np.errstate(over="ignore"):
+        for query in (0, 20):
+            best = {v: max(float(np.dot(a, b)) for i, a in rows if i == query for j, b in rows if j == v) for v in {i for i, _ in rows} - {query}}
+            for k, (v, score) in enumerate(sorted(best.items(), key=lambda x: (-x[1], x[0]))):
+                want[query, k + 1, v, score] += 1
+    assert got == want and max(r[3] for r in got) == float("inf")
