@@ -101,6 +101,7 @@ def merge_latest(
     keys: list[str],
     ts: str | None = TIME,
     order: list[str] | None = None,
+    dated: bool = False,
 ) -> DataFrame:
     """Insert keys not stored, update stored keys where the source row is strictly newer.
 
@@ -113,7 +114,7 @@ def merge_latest(
         *columns, "_step", "_seq"
     )
     rows = as_stored(target, changes).unionByName(changes)
-    return newest_per_key(rows, keys, ts).select(*columns)
+    return newest_per_key(rows, keys, ts, dated=dated).select(*columns)
 
 
 # -- deletes -----------------------------------------------------------------------

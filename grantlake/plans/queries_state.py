@@ -29,7 +29,7 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def state_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """UPS-1/2: the newest event of each user; the earlier arrival wins a tie."""
-    return newest_per_key(_events(spark, sf_dir), ["user_id"], "ts", ["event_id"]).select(*_EVENT)
+    return newest_per_key(_events(spark, sf_dir), ["user_id"], "ts", ["event_id"], dated=True).select(*_EVENT)
 
 
 @query(
@@ -49,8 +49,8 @@ def state_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def state_merge_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """UPS-1/4: the early half as stored state, the late half merged into it."""
     events = _events(spark, sf_dir).select(*_EVENT)
-    base = newest_per_key(events.filter(f"ts < {_HALF}"), ["user_id"], "ts", ["event_id"])
-    return merge_latest(base, events.filter(f"ts >= {_HALF}"), ["user_id"], "ts", ["event_id"])
+    base = newest_per_key(events.filter(f"ts < {_HALF}"), ["user_id"], "ts", ["event_id"], dated=True)
+    return merge_latest(base, events.filter(f"ts >= {_HALF}"), ["user_id"], "ts", ["event_id"], dated=True)
 
 
 @query(
@@ -70,8 +70,8 @@ def state_merge_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 def state_merge_older(spark: SparkSession, sf_dir: str) -> DataFrame:
     """UPS-1: late arrivals; older changes must not overwrite newer state."""
     events = _events(spark, sf_dir).select(*_EVENT)
-    base = newest_per_key(events.filter(f"ts >= {_HALF}"), ["user_id"], "ts", ["event_id"])
-    return merge_latest(base, events.filter(f"ts < {_HALF}"), ["user_id"], "ts", ["event_id"])
+    base = newest_per_key(events.filter(f"ts >= {_HALF}"), ["user_id"], "ts", ["event_id"], dated=True)
+    return merge_latest(base, events.filter(f"ts < {_HALF}"), ["user_id"], "ts", ["event_id"], dated=True)
 
 
 @query(
@@ -118,8 +118,8 @@ def nullsafe_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _events(spark, sf_dir).select(
         "event_id", "ts", "user_id", F.nullif(F.col("event_type"), F.lit("view")).alias("part")
     )
-    base = newest_per_key(events.filter(f"ts < {_HALF}"), ["user_id", "part"], "ts", ["event_id"])
-    return merge_latest(base, events.filter(f"ts >= {_HALF}"), ["user_id", "part"], "ts", ["event_id"])
+    base = newest_per_key(events.filter(f"ts < {_HALF}"), ["user_id", "part"], "ts", ["event_id"], dated=True)
+    return merge_latest(base, events.filter(f"ts >= {_HALF}"), ["user_id", "part"], "ts", ["event_id"], dated=True)
 
 
 _PURCHASES = "select event_id, ts, user_id, event_type, value from events where event_type = 'purchase'"
@@ -243,7 +243,7 @@ def state_daily_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """UPS, DEL, SEQ, RTE: a month of daily groups applied in one plan, deletes before adds in each."""
     entity = ENTITIES["RESOURCE"]
     changes = stage(resource_changes(spark, sf_dir, daily=True), "changes")
-    state = apply_changes(spark.createDataFrame([], entity.schema), changes, entity)
+    state = apply_changes(spark.createDataFrame([], entity.schema), changes, entity, dated=True)
     return state.select(*_STATE_ROW, plain_time("event_timestamp").alias("event_timestamp"))
 
 
@@ -263,7 +263,7 @@ def state_stream_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SEQ-1: one message batch, its operations applied in first-seen order."""
     entity = ENTITIES["RESOURCE"]
     changes = stage(resource_changes(spark, sf_dir, daily=False), "changes")
-    state = apply_changes(spark.createDataFrame([], entity.schema), changes, entity)
+    state = apply_changes(spark.createDataFrame([], entity.schema), changes, entity, dated=True)
     return state.select(*_STATE_ROW, plain_time("event_timestamp").alias("event_timestamp"))
 
 
@@ -307,8 +307,8 @@ def membership_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = events(ordered.filter("l_linenumber <= 3"), "stored", "_at")
     then = events(ordered.withColumn("_at", F.expr("timestamp_ntz'2000-01-01 00:00:00'")), "change", "_at")
     empty = spark.createDataFrame([], entity.schema)
-    base = apply_changes(empty, stage(flatten(first, entity.name), "changes"), entity)
-    state = apply_changes(base, stage(flatten(then, entity.name), "changes"), entity)
+    base = apply_changes(empty, stage(flatten(first, entity.name), "changes"), entity, dated=True)
+    state = apply_changes(stage(base, "state"), stage(flatten(then, entity.name), "changes"), entity, dated=True)
     return state.select("id", "member_global_id", "name")
 
 
@@ -380,7 +380,7 @@ def assignment_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DEL-2, DEL-5, MEM-1: a month of grants and revocations that spare newer rows."""
     entity = ENTITIES["PERMISSION_ASSIGNMENT"]
     changes = stage(assignment_changes(spark, sf_dir), "changes")
-    state = apply_changes(spark.createDataFrame([], entity.schema), changes, entity)
+    state = apply_changes(spark.createDataFrame([], entity.schema), changes, entity, dated=True)
     return state.select(
         "assignment_id", "external_id", "permission_id", plain_time("event_timestamp").alias("event_timestamp")
     )
@@ -425,7 +425,7 @@ def assignment_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
         target_identity_id=F.concat(F.lit("o"), text("o_orderkey")),
     )
     state = apply_changes(spark.createDataFrame([], entity.schema), held.unionByName(whole), entity)
-    by_supplier = state.withColumns(
+    by_supplier = stage(state, "state").withColumns(
         {
             "target_identity_id": F.concat(F.lit("s"), F.get(F.split("assignment_id", "-"), F.lit(3))),
             "permission_id": F.get(F.split("assignment_id", "-"), F.lit(2)),
