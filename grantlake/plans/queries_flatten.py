@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from grantlake.entities import AUDIT, ENTITIES, Entity
 from grantlake.operators.flatten import flatten
-from grantlake.plans.registry import feed, json_of, plain_time, query, spread_table, text
+from grantlake.plans.registry import feed, json_of, plain_time, query, spread_table, table, text
+
 
 def _objects(*items: Column) -> Column:
     return F.array(*items)
@@ -576,3 +578,41 @@ def audit_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
         "response_payload",
         "source",
     )
+
+
+# What events with nothing but an id leave in the columns of every entity; columns that are not named take the default of their kind.
+_BARE_DEFAULTS = {"text": "''", "json": "'{}'", "number": "null", "integer": "null", "time": "null"}
+_BARE_HEADER = {
+    "id": "'own'", "tenancy_id": "'T'", "service_instance_id": "'S'", "operation_type": "'CREATE'", "event_timestamp": "'2024-01-02 03:04:05'",
+}
+_BARE_OWN = {
+    "CLOUD_POLICY": {"attributes": """'{"permissive_score":0,"reasons":[]}'"""},  # every statement is scored, also none
+    "OWNERSHIP_COLLECTION": {"id": "''"},  # its id is that of the collection it names
+}
+_BARE_ENTITIES = [e for e in (*ENTITIES.values(), AUDIT) if e.name not in ("PERMISSION_ASSIGNMENT", "IDENTITY")]
+
+
+def _bare_value(entity: Entity, column: str, kind: str) -> str:
+    own = {**_BARE_HEADER, "event_object_type": f"'{entity.name}'", **_BARE_OWN.get(entity.name, {})}
+    return own.get(column, _BARE_DEFAULTS[kind])
+
+
+_BARE_SQL = " union all ".join(
+    f"select '{e.name}' as entity, '{c.name}' as name, {_bare_value(e, c.name, c.kind)}::varchar as value" for e in _BARE_ENTITIES for c in e.columns
+)
+
+
+@query("flatten_every_column", f"with c as ({_BARE_SQL}) select entity, name, value, count(*) as n_rows from c, supplier group by 1, 2, 3")
+def flatten_every_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ-0: all columns of all entities but identities and assignments, for events that hold an id and nothing else."""
+    suppliers = table(spark, sf_dir, "supplier").withColumn("_at", F.expr("timestamp_ntz'2024-01-02 03:04:05'"))
+    out = None
+    for entity in _BARE_ENTITIES:
+        rows = flatten(feed(suppliers, entity.name, json_of(id=text("s_suppkey")), "_at", "s_suppkey"), entity.name)
+        rows = rows.withColumn("id", F.when(F.col("id").try_cast("int") >= 0, "own").otherwise(F.col("id"))) if "id" in rows.columns else rows
+        named = F.map_from_arrays(
+            F.array(*[F.lit(c) for c in entity.column_names]), F.array(*[F.col(c).cast("string") for c in entity.column_names])
+        )
+        cells = rows.select(F.explode(named).alias("name", "value")).select(F.lit(entity.name).alias("entity"), "name", "value")
+        out = cells if out is None else out.unionByName(cells)
+    return out.groupBy("entity", "name", "value").agg(F.count("*").alias("n_rows"))
