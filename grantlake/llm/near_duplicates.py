@@ -300,11 +300,10 @@ def _grouped(documents: DataFrame) -> DataFrame:
         shared = c.staged(member.join(stars, "bucket"), "shared")
         c.released(classes, stars)
         joined = keep(c.staged(_joined(rows, shared, names), "components"))
-    # A component is named by its smallest doc_id; only classes that are linked need to be asked.
-    linked = names.join(joined.withColumnRenamed("v", "rep"), "rep")
-    least = linked.groupBy("component").agg(F.min("class_id").alias("component_id"))
-    alone = names.join(joined.select(F.col("v").alias("rep")), "rep", "left_anti").select("*", F.col("rep").alias("component"), F.col("class_id").alias("component_id"))
-    ids = linked.join(least, "component").unionByName(alone).select("d1", "d2", "class_id", "component", "component_id")
+    # A component is named by its smallest doc_id.
+    labels = names.join(joined.withColumnRenamed("v", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    least = labels.groupBy("component").agg(F.min("class_id").alias("component_id"))
+    ids = labels.join(least, "component").select("d1", "d2", "class_id", "component", "component_id")
     return read.join(ids, ["d1", "d2"], "left")
 
 
@@ -355,11 +354,11 @@ def deduplicated(documents: DataFrame) -> DataFrame:
     with c.scratch() as keep:
         rows = c.staged(_grouped(documents).select("doc_id", "text_hash", "n", "component"), "judged")
         first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")).alias("first")
-        stay = rows.filter("n > 0").groupBy("component").agg(first).select("first.doc_id", "first.text_hash")
-        counts = rows.groupBy("doc_id", "text_hash").agg(F.count("*").alias("many"), F.max("n").alias("n"))
-        gone = counts.filter("n > 0").join(stay, counts["doc_id"].eqNullSafe(stay["doc_id"]) & (counts["text_hash"] == stay["text_hash"]), "left_anti")
-        gone = keep(c.staged(gone.select("doc_id", "text_hash"), "gone"))
-        again = keep(c.staged(counts.filter("n > 0 and many > 1").select("doc_id", "text_hash"), "repeated"))
+        stay = rows.filter("n > 0").groupBy("component").agg(first)
+        other = ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash")))
+        gone = keep(c.staged(rows.filter("n > 0").join(stay, "component").filter(other).select("doc_id", "text_hash"), "gone"))
+        again = rows.filter("n > 0").groupBy("doc_id", "text_hash").count().filter("count > 1")
+        again = keep(c.staged(again.select("doc_id", "text_hash"), "repeated"))
     id, hash = c.fresh(documents, "own_id"), c.fresh(documents, "own_hash")
     keyed = documents.withColumns({id: F.col("doc_id").cast("long"), hash: F.xxhash64("text")})
 
