@@ -246,7 +246,8 @@ class StateTable:
         # The groups of a load are the files or the operations of a batch.
         groups = changes.select("_step").distinct()
         groups = groups.withColumn("_group", F.row_number().over(Window.orderBy("_step")))
-        changes = changes.join(groups, "_step")
+        # Sent to all tasks: dealt by group, the rows of a load of one group would meet in one task.
+        changes = changes.join(F.broadcast(groups), "_step")
         removal = is_removal(entity)
         dated = F.when(F.col(TIME).isNull(), F.raise_error(F.lit(f"{entity.name}: a row of the state needs an event time"))).otherwise(F.col(TIME))
         upserts = changes.filter(~removal).withColumn(TIME, dated)

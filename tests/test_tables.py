@@ -49,6 +49,13 @@ def test_loads_append_and_a_compaction_rewrites(spark, tmp_path):
     assert not first[0].exists()
 
 
+def test_a_load_is_not_dealt_by_its_groups(spark, tmp_path):
+    net = StateTable(spark, str(tmp_path), ROLE)._net(roles(spark, "a", "b"))
+    plan = net._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert sorted((r["id"], r["_group"]) for r in net.collect()) == [("a", 1), ("b", 1)]
+
+
 def test_a_load_that_was_not_published_is_not_seen(spark, tmp_path):
     state = StateTable(spark, str(tmp_path), ROLE)
     state.load(roles(spark, "a"), "feed", 0)
