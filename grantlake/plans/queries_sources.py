@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -24,13 +26,32 @@ def _iso(ts: str) -> Column:
     return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("789Z"))
 
 
+#: Lines of a feed file, about, where its header leaves a choice.
+FILE_LINES = 10_000
+
+
+def _file_numbers(events: DataFrame, lines: int) -> DataFrame:
+    """The events with ``file``, which puts neighbouring slots of a day and type together up to about ``lines`` lines.
+
+    The window holds one row per slot, not its events.
+    """
+    name = ["day", "event_type", "slot"]
+    slots = events.groupBy(*[F.col(c).alias(f"_{c}") for c in name]).agg(F.count("*").alias("n"))
+    before = Window.partitionBy("_day", "_event_type").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    slots = slots.withColumn("file", F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / lines)).drop("n")
+    match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in name])
+    return events.join(slots, match).drop(*[f"_{c}" for c in name])
+
+
 def write_feed(
     spark: SparkSession, sf_dir: str, only: str = "true", path: str | None = None, key: str = "event_id", value: str = "user_id", time: str | None = None
 ) -> str:
-    """Events as feed files of at most a thousand lines, a header line first in every file.
+    """Events as feed files, a header line first in every file.
 
     A second header line repeats one field, and that later value wins. ``time`` is the time of a file, made of
-    ``day``, ``event_type`` and ``slot``; by default its day.
+    ``day``, ``event_type`` and ``slot``; by default its day. A slot is a thousand ids. With ``time`` each slot has a file
+    of its own; else the slots of a day and type share files of about ``FILE_LINES`` lines, in their order, so that what
+    is listed grows with the lines and not with the slots.
     """
     events = table(spark, sf_dir, "events").filter(only).withColumns(
         {
@@ -39,6 +60,7 @@ def write_feed(
             "_operation": F.expr(OPERATION_SQL),
         }
     )
+    events = events.withColumn("file", F.col("slot")) if time else _file_numbers(events, FILE_LINES)
     header = json_of(
         messageType=F.lit("RESOURCE"),
         operation="_operation",
@@ -52,8 +74,8 @@ def write_feed(
     )
     second = json_of(correlationId=F.concat(F.lit("snap-"), F.col("day")))
     data = json_of(id=text(key), resourceName="event_type", externalId=text(value), customAttributes="props")
-    name = ["day", "event_type", "slot"]
-    files = events.select(*name, "_operation").distinct()
+    name = ["day", "event_type", "file"]
+    files = events.select(*name, *(["slot"] if time else []), "_operation").distinct()
 
     def header_line(rank: int, fields: Column) -> DataFrame:
         line = F.concat(F.lit('{"headers":'), fields, F.lit("}"))
@@ -80,7 +102,9 @@ def feed_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-1, HDR-1..5, LBL-1/2: feed files read back, headers joined to their lines, line order kept."""
     lines = src_files.read_lines(spark, write_feed(spark, sf_dir), glob="*.txt")
     events = src_files.line_events(lines)
-    in_file = F.row_number().over(Window.partitionBy("_file").orderBy("_seq"))
+    # Positions count within each thousand ids of a file.
+    slot = F.floor(F.get_json_object("raw", "$.id").cast("long") / 1000)
+    in_file = F.row_number().over(Window.partitionBy("_file", slot).orderBy("_seq"))
     return events.select(
         F.get_json_object("raw", "$.id").alias("id"),
         F.get_json_object("raw", "$.externalId").cast("long").alias("user_id"),

@@ -4,6 +4,8 @@ import json
 
 from pyspark.sql import functions as F
 
+from grantlake.plans import queries_sources
+from grantlake.plans.registry import QUERIES
 from grantlake.sources import files as src
 from grantlake.sources.headers import supported_events, tolerant_bool, tolerant_int
 from grantlake.sources.messages import decode_messages, message_events
@@ -114,3 +116,22 @@ def test_tolerant_values(spark):
     frame = spark.createDataFrame([(" 12 ", " TRUE "), ("12.5", "yes"), ("x", None), (None, "true")], "n string, b string")
     got = frame.select(tolerant_int(F.col("n")), tolerant_bool(F.col("b"))).collect()
     assert [tuple(r) for r in got] == [(12, True), (None, False), (None, False), (None, True)]
+
+
+def test_slots_of_a_day_and_type_share_feed_files(spark, tmp_path, monkeypatch):
+    # Two events of each thousand ids, so that a file per thousand would hold two lines; some have no id or day.
+    rows = [(i * 500, dt.datetime(2024, 1, 1), 7, "view", 1.0, "{}") for i in range(300)]
+    rows += [(None, dt.datetime(2024, 1, 1), 8, "view", 1.0, "{}"), (3, None, 9, "view", 1.0, "{}")]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "events.parquet"))
+
+    def written():
+        path = queries_sources.write_feed(spark, str(tmp_path))
+        return spark.read.option("recursiveFileLookup", "true").text(path).select("_metadata.file_path").distinct().count()
+
+    assert written() == 2
+    monkeypatch.setattr(queries_sources, "FILE_LINES", 100)
+    assert written() == 4
+    got = QUERIES["feed_file_scan"](spark, str(tmp_path)).collect()
+    assert sorted((int(r["id"]), r["position"]) for r in got if r["user_id"] == 7) == [(i * 500, i % 2 + 1) for i in range(300)]
+    assert sorted((r["id"] or "", r["user_id"], r["position"]) for r in got if r["user_id"] != 7) == [("", 8, 1), ("3", 9, 1)]
