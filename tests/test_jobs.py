@@ -1,14 +1,17 @@
 import base64
 import json
 import os
+from datetime import datetime
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from grantlake.entities import AUDIT, ENTITIES
+from grantlake.entities import AUDIT, ENTITIES, entity
+from grantlake.plans import load
 from grantlake.plans.jobs import run
 from grantlake.plans.load import load_state
+from grantlake.plans.queries_sources import write_feed
 from grantlake.sinks.tables import HistoryTable, RejectTable, StateTable
 from grantlake.streaming.feeds import FeedConfig
 from tests.events import decoded, header, lines
@@ -182,3 +185,28 @@ def test_job_names_and_arguments(spark):
         run(spark, "x", None)
     with pytest.raises(ValueError, match="no path"):
         FeedConfig("", "r", "c")
+
+
+def test_feed_files_of_slots_lie_side_by_side_and_are_listed_by_few_tasks(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    rows = "id * 1000 as event_id, timestamp_ntz'2024-01-02 00:00:00' as ts, id as user_id, 'view' as event_type, 'p' as props"
+    spark.range(40).selectExpr(*rows.split(", ")).write.parquet(f"{tmp_path}/in/events.parquet")
+    path = write_feed(spark, f"{tmp_path}/in", path=f"{tmp_path}/feed", time="to_timestamp(day, 'yyyyMMdd')")
+    files = list(Path(path).rglob("*.txt"))
+    assert len(files) == 40 and {f.parent.parent for f in files} == {Path(path)}
+    config = FeedConfig(path, f"{tmp_path}/lake", f"{tmp_path}/progress", glob="*.txt")
+    run(spark, "file", config).awaitTermination()
+    assert int(spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")) <= 64
+    assert StateTable(spark, config.root, entity("RESOURCE")).read().count() == 40
+
+
+def test_batches_without_a_marker_are_only_registered(spark, tmp_path, monkeypatch):
+    names = []
+    monkeypatch.setattr(load, "staged", lambda df, name, *by, f=load.staged: names.append(name) or f(df, name, *by))
+    row = "RESOURCE", "CREATE", "1.0", "T", "S", "snap", datetime(2024, 1, 1)
+    ddl = "message_type string, operation string, event_type_version string, tenancy_id string, service_instance_id string, snapshot_id string"
+    files = spark.createDataFrame([(*row, "b1", None, False)], f"{ddl}, event_timestamp timestamp, batch_id string, num_of_batches int, is_marker boolean")
+    files = files.withColumn("_step", F.col("event_timestamp"))
+    assert load.finish_snapshots(spark, files, str(tmp_path), "file", 0) == [] and names == ["markers"]
+    marker = files.withColumns({"is_marker": F.lit(True), "num_of_batches": F.lit(1)})
+    assert load.finish_snapshots(spark, marker, str(tmp_path), "file", 1) == ["RESOURCE"]
