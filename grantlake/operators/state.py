@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from grantlake.entities import SCOPE, DeleteRoute, Entity
+from grantlake.session import remove_path, scratch_path, stage
 
 TIME = "event_timestamp"
 
@@ -187,9 +188,17 @@ def apply_changes(target: DataFrame, changes: DataFrame, entity: Entity, dated:
     rows = as_stored(target.select(*columns), upserts).unionByName(upserts.select(*columns, "_step", "_seq"))
     if not entity.newer_only_delete:
         return newest_per_key(surviving(rows, deletes, entity), keys, dated=dated).select(*columns)
-    knots = _knots(rows, entity)
-    alone = surviving(rows.join(knots, matches_key(rows, keys), "left_anti"), deletes, entity)
-    tangled = _walked(rows.join(knots, matches_key(rows, keys), "left_semi"), deletes, entity)
+    # Written, so their number and size are known before the rows are dealt: none mostly, or few enough to be sent to all tasks.
+    path = scratch_path(rows.sparkSession, "knots")
+    _knots(rows, entity).write.parquet(path)
+    knots = rows.sparkSession.read.schema("_knot long").parquet(path)
+    if knots.isEmpty():
+        remove_path(rows.sparkSession, path)
+        return newest_per_key(surviving(rows, deletes, entity), keys, dated=True).select(*columns)
+    hashed = rows.withColumn("_knot", _key_hash(rows, entity))
+    alone = surviving(hashed.join(knots, "_knot", "left_anti").drop("_knot"), deletes, entity)
+    # Several branches read the rows of these keys.
+    tangled = _walked(stage(hashed.join(knots, "_knot", "left_semi").drop("_knot"), "tangled"), deletes, entity)
     return newest_per_key(alone, keys, dated=True).select(*columns).unionByName(tangled.select(*columns))
 
 
@@ -224,14 +233,20 @@ def surviving(rows: DataFrame, deletes: DataFrame, entity: Entity) -> DataFrame:
 # -- keys whose rows answer to different deletes -----------------------------------
 
 
+def _key_hash(rows: DataFrame, entity: Entity) -> Column:
+    return F.xxhash64(*key_columns(rows, list(entity.state_key)))
+
+
 def _knots(rows: DataFrame, entity: Entity) -> DataFrame:
-    """Keys with candidates that differ in a column by which they are deleted, or among which one has no time."""
+    """Hashes of the keys with candidates that differ in a column by which they are deleted, or among which one has no time.
+
+    Keys that share a hash by chance are walked as well, which is right for any key.
+    """
     loose = sorted({c for route in entity.routes for c in route.keys} - set(entity.state_key))
     mark = F.xxhash64(*loose) if loose else F.lit(0).cast("long")
-    narrow = rows.select(*key_columns(rows, list(entity.state_key)), mark.alias("mark"), F.col(TIME).isNull().cast("int").alias("undated"))
-    names = [c for c in narrow.columns if c.startswith("_k")]
-    found = narrow.groupBy(*names).agg(F.min("mark").alias("low"), F.max("mark").alias("high"), F.sum("undated").alias("undated"))
-    return found.filter("low <> high or undated > 0").select(*names)
+    narrow = rows.select(_key_hash(rows, entity).alias("_knot"), mark.alias("mark"), F.col(TIME).isNull().alias("undated"))
+    found = narrow.groupBy("_knot").agg(F.min("mark").alias("low"), F.max("mark").alias("high"), F.max("undated").alias("undated"))
+    return found.filter("low <> high or undated").select("_knot")
 
 
 def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

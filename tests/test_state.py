@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from grantlake.entities import ENTITIES
+from grantlake.plans.queries_state import entity_rows
 from grantlake.operators.state import apply_changes, apply_deletes, merge_latest, newest_per_key
 from grantlake.sinks.tables import StateTable
 from tests import fold
@@ -199,3 +200,22 @@ def test_plans_gather_no_rows_of_a_key(spark):
     changes = spark.createDataFrame([], change_schema(entity))
     plan = apply_changes(spark.createDataFrame([], entity.schema), changes, entity)._jdf.queryExecution().optimizedPlan().toString()
     assert "collect_list" not in plan and "collect_set" not in plan and "struct(target_identity_id" not in plan
+
+
+def test_keys_without_tangled_rows_are_neither_looked_up_nor_walked(spark):
+    name = "PERMISSION_ASSIGNMENT"
+    who = F.concat(F.lit("t"), F.col("id"))
+
+    def rows(ids, route, step, day):
+        time = F.lit(f"2024-01-0{day}").cast("timestamp")
+        return entity_rows(spark.range(*ids), name, route, step, time, assignment_id=F.col("id").cast("string"), target_identity_id=who)
+
+    changes = rows((0, 20), "CREATE", 0, 1).unionByName(rows((0, 5), "DELETE", 1, 2))
+    state = apply_changes(spark.createDataFrame([], ENTITIES[name].schema), changes, ENTITIES[name])
+    assert "MapInArrow" not in state._jdf.queryExecution().toString()
+    assert sorted(int(r[0]) for r in state.select("assignment_id").collect()) == list(range(5, 20))
+    # A row of another identity under a stored key has to be walked.
+    more = rows((5, 6), "CREATE", 2, 3).withColumn("target_identity_id", F.lit("other"))
+    state = apply_changes(spark.createDataFrame([], ENTITIES[name].schema), changes.unionByName(more), ENTITIES[name])
+    assert "MapInArrow" in state._jdf.queryExecution().toString()
+    assert {r[0]: r[1] for r in state.select("assignment_id", "target_identity_id").collect()}["5"] == "other"
