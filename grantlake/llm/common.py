@@ -84,6 +84,30 @@ def hashed_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
     return df.orderBy(spread, key).limit(rows)
 
 
+#: Bits of a filter for each member, bits of one of its rows, and bits at most.
+_SPARSE, _MAP_BITS, MOST_BITS = 16, 1 << 15, 1 << 28
+
+
+def possible(df: DataFrame, hash: Column, members: DataFrame, name: str) -> DataFrame:
+    """``df`` with a boolean ``name``: false only where ``hash`` is surely not among the hashes in the one column of ``members``.
+
+    A bitmap of the members' hashes goes to all tasks, so that wide rows that a join would drop need not be dealt for it.
+    Beyond ``MOST_BITS`` it is no larger and lets more pass; an exact join has to follow.
+    """
+    bits = min(MOST_BITS, max(_MAP_BITS, 1 << (_SPARSE * members.count()).bit_length()))
+    number, bit, maps = (fresh(df, n) for n in ("map_number", "map_bit", "map_bits"))
+
+    def place(value: Column) -> list[Column]:
+        at = F.pmod(value, F.lit(bits).cast("long"))
+        return [F.floor(at / _MAP_BITS).alias(number), (at % _MAP_BITS).alias(bit)]
+
+    filled = members.select(*place(F.col(members.columns[0]))).repartition(number).groupBy(number).agg(F.bitmap_construct_agg(bit).alias(maps))
+    placed = df.select("*", *place(hash)).join(F.broadcast(filled), number, "left")
+    byte = F.conv(F.hex(F.substring(maps, (F.floor(F.col(bit) / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    found = F.coalesce(byte.bitwiseAND(F.expr(f"shiftleft(1, cast({bit} % 8 as int))")) != 0, F.lit(False))
+    return placed.withColumn(name, found).select(*df.columns, name)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` doesn't have."""
     taken = {c.lower() for c in df.columns}

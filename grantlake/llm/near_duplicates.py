@@ -307,9 +307,9 @@ def _grouped(documents: DataFrame) -> DataFrame:
     return read.join(ids, ["d1", "d2"], "left")
 
 
-def _row() -> Column:
+def _row(id: str = "doc_id", text_hash: str = "text_hash") -> Column:
     """Tells rows apart, but for repeats and for chance."""
-    return F.xxhash64("doc_id", "text_hash")
+    return F.xxhash64(id, text_hash)
 
 
 def _joined(rows: DataFrame, shared: DataFrame, names: DataFrame) -> DataFrame:
@@ -317,8 +317,10 @@ def _joined(rows: DataFrame, shared: DataFrame, names: DataFrame) -> DataFrame:
     close = 100 * F.least("an", "n") >= PERCENT * F.greatest("an", "n")
     stars = shared.filter((F.col("a") != F.col("rep")) & close).select("a", F.col("rep").alias("b"))
     first = c.staged(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "pairs")
-    wanted = shared.select("rep").distinct().join(names.select("rep", "d1", "d2", "row"), "rep")
-    sets = rows.withColumn("row", _row()).join(wanted.select("row"), "row", "left_semi").select("text").mapInArrow(_sets, "d1 long, d2 long, shingles binary")
+    wanted = c.staged(shared.select("rep").distinct().join(names.select("rep", "d1", "d2", "row"), "rep"), "wanted")
+    # Most texts have no part in this; they are left out before the join, which deals the others.
+    some = c.possible(rows.withColumn("row", _row()), F.col("row"), wanted.select("row"), "some").filter("some")
+    sets = some.join(wanted.select("row"), "row", "left_semi").select("text").mapInArrow(_sets, "d1 long, d2 long, shingles binary")
     sets = sets.groupBy("d1", "d2").agg(F.first("shingles").alias("shingles"))
     sets = c.staged(sets.join(wanted, ["d1", "d2"]).select("rep", "shingles"), "sets")
     edges = c.staged(confirmed(first, sets), "links")
@@ -363,9 +365,12 @@ def deduplicated(documents: DataFrame) -> DataFrame:
     keyed = documents.withColumns({id: F.col("doc_id").cast("long"), hash: F.xxhash64("text")})
 
     def among(other: DataFrame) -> Column:
-        return keyed[id].eqNullSafe(other["doc_id"]) & (keyed[hash] == other["text_hash"])
+        return F.col(id).eqNullSafe(other["doc_id"]) & (F.col(hash) == other["text_hash"])
 
-    kept = keyed.join(gone, among(gone), "left_anti")
+    # Rows that are surely not gone are not dealt for the join.
+    maybe = c.fresh(keyed, "own_maybe")
+    marked = c.possible(keyed, _row(id, hash), gone.select(_row()), maybe)
+    kept = marked.filter(~F.col(maybe)).drop(maybe).unionByName(marked.filter(maybe).drop(maybe).join(gone, among(gone), "left_anti"))
     if not again.isEmpty():
         once = kept.join(again, among(again), "left_semi").dropDuplicates([id, hash])
         kept = kept.join(again, among(again), "left_anti").unionByName(once)

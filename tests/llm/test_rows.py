@@ -8,9 +8,10 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from grantlake.llm import learned_partitions, near_duplicates, positional_index, queries
+from grantlake.llm import common, learned_partitions, near_duplicates, positional_index, queries
 
 LOWER = {c: c + 32 for c in range(65, 91)}
 
@@ -231,3 +232,25 @@ def test_vectors_of_one_id_and_products_that_overflow(spark):
             for k, (v, score) in enumerate(sorted(best.items(), key=lambda x: (-x[1], x[0]))):
                 want[query, k + 1, v, score] += 1
     assert got == want and max(r[3] for r in got) == float("inf")
+
+
+def test_a_filter_passes_all_members_and_few_others(spark):
+    rows = spark.range(20000).withColumn("hash", F.xxhash64("id"))
+    members = rows.filter("id % 40 = 7").select("hash")
+    marked = common.possible(rows, F.col("hash"), members, "some")
+    assert marked.columns == ["id", "hash", "some"] and marked.count() == 20000
+    assert marked.filter("id % 40 = 7 and not some").isEmpty() and marked.filter("some").count() < 500 + 20000 // 12
+    assert common.possible(rows, F.col("hash"), members.limit(0), "some").filter("some").isEmpty()
+
+
+def test_texts_without_a_near_copy_are_not_dealt(spark):
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        words = "concat_ws(' ', transform(sequence(1, 30), k -> concat('w', if(id < 4, 0, id), '_', k)))"
+        kept = near_duplicates.deduplicated(spark.range(400).selectExpr("id as doc_id", f"{words} as text"))
+        assert sorted(r[0] for r in kept.select("doc_id").collect()) == [0, *range(4, 400)]
+        plan = kept._jdf.queryExecution().optimizedPlan().toString()
+        assert "map_bits" in plan and "Union" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
