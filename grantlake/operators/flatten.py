@@ -269,12 +269,13 @@ def _explode(
     element: str = "string",
     base_row: bool = False,
     usable: Column | None = None,
+    kept: list[Column | str] | None = None,
 ) -> DataFrame:
     """One row per child, and exactly one for an event without any; broken or unusable events yield none.
 
     Broken events are told apart through the exploded array rather than by a filter
     on the parsed event, because Spark would push that filter below the projection
-    and parse every event twice.
+    and parse every event twice. With ``kept``, these columns alone go along with the children; the parsed event stays behind.
     """
     none = F.struct(F.lit(None).cast("string").alias("label"), F.lit(None).cast(element).alias("child"))
     base = F.array(none)
@@ -283,8 +284,10 @@ def _explode(
     else:
         rows = F.concat(base, children) if base_row else F.when(F.size(children) > 0, children).otherwise(base)
     whole = F.when(_whole() if usable is None else _whole() & usable, rows)
+    if kept is not None:
+        df, whole = df.select(*kept, whole.alias("_children")), F.col("_children")
     return (
-        df.select("*", F.posexplode_outer(whole).alias("_child_pos", "_child"))
+        df.select(*(c for c in df.columns if c != "_children"), F.posexplode_outer(whole).alias("_child_pos", "_child"))
         .filter(F.col("_child").isNotNull())
         .withColumns({"_label": F.col("_child.label"), "_item": F.col("_child.child")})
     )
@@ -378,27 +381,33 @@ def _flatten_generic(events: DataFrame, entity: ent.Entity) -> DataFrame:
     values = {name: _value(entity.column(name), field, keys) for name, field in sources.items()}
     values.update(_header_values(F.col("e.tenancyId") if entity.name == "RESOURCE" else None))
 
-    if not children:
-        df = _explode(df)
-    else:
-        lists = []
-        for path, label in children.lists.items():
-            items = F.col("e." + path)
-            if children.needs:
-                items = F.filter(items, lambda child: child[children.needs].isNotNull())
-            lists.append(_labelled(items, label, element))
-        df = _explode(df, F.concat(*lists) if len(lists) > 1 else lists[0], element, children.base_row)
-        child_sources = {name: F.col("_item." + path) for name, path in child_columns.items()}
-        sources.update(child_sources)
-        values.update({n: _value(entity.column(n), f, keys) for n, f in child_sources.items()})
-        if children.label:
-            values[children.label] = _text(F.col("_label"))
-        if children.scalar:
-            values[children.scalar] = _text(F.col("_item"))
-
     adjust = _ADJUST.get(entity.name)
     if adjust:
         df = adjust(df, values)
+    if not children:
+        return _assemble(_explode(df), entity, values, sources)
+
+    # What belongs to the event is worked out once, before its children get a row each.
+    lists = []
+    for path, label in children.lists.items():
+        items = F.col("e." + path)
+        if children.needs:
+            items = F.filter(items, lambda child: child[children.needs].isNotNull())
+        lists.append(_labelled(items, label, element))
+    ahead = {f"_v_{name}": value for name, value in values.items()}
+    ahead |= {f"_s_{name}": field for name, field in sources.items()}
+    passed = [c for c in events.columns if c != "raw"]
+    kept = [*passed, *(value.alias(name) for name, value in ahead.items())]
+    df = _explode(df, F.concat(*lists) if len(lists) > 1 else lists[0], element, children.base_row, kept=kept)
+    values = {name: F.col(f"_v_{name}") for name in values}
+    sources = {name: F.col(f"_s_{name}") for name in sources}
+    child_sources = {name: F.col("_item." + path) for name, path in child_columns.items()}
+    sources.update(child_sources)
+    values.update({n: _value(entity.column(n), f, keys) for n, f in child_sources.items()})
+    if children.label:
+        values[children.label] = _text(F.col("_label"))
+    if children.scalar:
+        values[children.scalar] = _text(F.col("_item"))
     return _assemble(df, entity, values, sources)
 
 

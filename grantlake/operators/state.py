@@ -167,6 +167,11 @@ def is_removal(entity: Entity) -> Column:
     return removal
 
 
+def deciding_columns(entity: Entity) -> set[str]:
+    """The columns that say which rows a load leaves."""
+    return {*entity.state_key, *(c for route in entity.routes for c in (*route.keys, *SCOPE)), TIME} | ({entity.label} if entity.label else set())
+
+
 def split_changes(changes: DataFrame, entity: Entity) -> tuple[DataFrame, DataFrame]:
     """(upserts, deletes), with ``_step`` extended so that a group's removes precede its adds."""
     removal = is_removal(entity)
@@ -177,17 +182,19 @@ def split_changes(changes: DataFrame, entity: Entity) -> tuple[DataFrame, DataFr
     return changes.filter(~removal).withColumn("_step", phase(1)), changes.filter(removal).withColumn("_step", phase(0))
 
 
-def apply_changes(target: DataFrame, changes: DataFrame, entity: Entity, dated: bool = False) -> DataFrame:
+def apply_changes(target: DataFrame, changes: DataFrame, entity: Entity, dated: bool = False, written: bool = False) -> DataFrame:
     """The state after a load.
 
     ``changes`` are flattened rows with ``_route``, ``_step`` (rank of the group in
-    application order) and ``_seq`` (order inside it). ``dated`` says that every row has a time.
+    application order) and ``_seq`` (order inside it). ``dated`` says that every row has a time, ``written`` that
+    the deletes are written before they meet the rows. The state has the entity's columns that ``target`` has,
+    which may leave out those that ``deciding_columns`` does not name.
     """
-    columns, keys = entity.column_names, list(entity.state_key)
+    columns, keys = [c for c in entity.column_names if c in target.columns], list(entity.state_key)
     upserts, deletes = split_changes(changes, entity)
     rows = as_stored(target.select(*columns), upserts).unionByName(upserts.select(*columns, "_step", "_seq"))
     if not entity.newer_only_delete:
-        return newest_per_key(surviving(rows, deletes, entity), keys, dated=dated).select(*columns)
+        return newest_per_key(surviving(rows, deletes, entity, written), keys, dated=dated).select(*columns)
     # Written, so their number and size are known before the rows are dealt: none mostly, or few enough to be sent to all tasks.
     path = scratch_path(rows.sparkSession, "knots")
     _knots(rows, entity).write.parquet(path)
@@ -211,19 +218,30 @@ def _delete_steps(events: DataFrame, keys: list[str], newer_only: bool) -> DataF
     names = [F.col(k).alias(f"_d_{k}") for k in keys]
     usable = events.filter(_complete(keys))
     if not newer_only:
-        return usable.groupBy(*names).agg(F.max("_step").alias("_d_step"))
+        # All deletes are of one phase; plain numbers are grouped by hash, structs would be sorted.
+        last = F.struct(F.max("_step.group").alias("group"), F.max("_step.phase").alias("phase"))
+        return usable.groupBy(*names).agg(last.alias("_d_step"))
     groups = usable.filter(F.col(TIME).isNotNull()).groupBy(*names, F.col("_step").alias("_d_step")).agg(F.max(TIME).alias("_d_ts"))
     later = Window.partitionBy(*[f"_d_{k}" for k in keys]).orderBy(F.desc("_d_step")).rowsBetween(Window.unboundedPreceding, -1)
     stairs = groups.withColumn("_later", F.max("_d_ts").over(later))
     return stairs.filter(F.col("_later").isNull() | (F.col("_d_ts") > F.col("_later"))).drop("_later")
 
 
-def surviving(rows: DataFrame, deletes: DataFrame, entity: Entity) -> DataFrame:
-    """The candidates that no later group deletes."""
+def surviving(rows: DataFrame, deletes: DataFrame, entity: Entity, written: bool = False) -> DataFrame:
+    """The candidates that no later group deletes.
+
+    ``written`` deletes are counted before the rows are dealt: a route without any takes no part, few are sent to all tasks.
+    """
     for route, events in routed(deletes, entity.routes):
         keys = [*route.keys, *SCOPE]
         steps = _delete_steps(events, keys, entity.newer_only_delete)
-        condition = _matches(rows, steps, keys) & _before(rows["_step"], steps["_d_step"])
+        if written:
+            steps = stage(steps, "deletes")
+            if steps.isEmpty():
+                continue
+        # No part of a delete key is empty; compared as in the state key, rows dealt for the deletes lie right for the newest.
+        condition = reduce(lambda a, b: a & b, [k == steps[f"_d_{name}"] for k, name in zip(_normal(rows, keys), keys, strict=True)])
+        condition = condition & _before(rows["_step"], steps["_d_step"])
         if entity.newer_only_delete:
             condition = condition & (rows[TIME] < steps["_d_ts"])
         rows = rows.join(steps, condition, "left_anti")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from grantlake.entities import ENTITIES, SCOPE, DeleteRoute
 from grantlake.operators.flatten import flatten
-from grantlake.operators.state import apply_changes, apply_deletes, merge_latest, newest_per_key, routed
+from grantlake.operators.state import apply_changes, apply_deletes, deciding_columns, merge_latest, newest_per_key, routed
 from grantlake.plans.registry import OPERATION_SQL, feed, json_of, plain_time, query, spread_table, table, text
 from grantlake.session import scratch_path, stage
 from grantlake.sinks.tables import StateTable
@@ -306,9 +306,15 @@ def membership_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     ordered = lines.withColumn("_seq0", F.struct("l_orderkey", "l_linenumber", "l_partkey"))
     first = events(ordered.filter("l_linenumber <= 3"), "stored", "_at")
     then = events(ordered.withColumn("_at", F.expr("timestamp_ntz'2000-01-01 00:00:00'")), "change", "_at")
-    empty = spark.createDataFrame([], entity.schema)
-    base = apply_changes(empty, stage(flatten(first, entity.name), "changes"), entity, dated=True)
-    state = apply_changes(stage(base, "state"), stage(flatten(then, entity.name), "changes"), entity, dated=True)
+    # Several branches read the changes, so they are written; of columns neither asked for nor deciding, nothing is worked out.
+    kept = [c for c in entity.column_names if c in deciding_columns(entity) | {"name"}]
+
+    def changes(df: DataFrame) -> DataFrame:
+        return stage(flatten(df, entity.name).select(*kept, "_route", "_step", "_seq"), "changes")
+
+    empty = spark.createDataFrame([], entity.schema).select(*kept)
+    base = apply_changes(empty, changes(first), entity, dated=True, written=True)
+    state = apply_changes(stage(base, "state"), changes(then), entity, dated=True, written=True)
     return state.select("id", "member_global_id", "name")
 
 

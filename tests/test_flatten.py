@@ -191,3 +191,15 @@ def test_resource_tenant_and_ownership_id(spark):
         ({"id": "i", "ownershipCollectionId": "o"}, "DELETE"),
     )
     assert [r["id"] for r in got] == ["o", "i"]
+
+
+def test_event_columns_are_worked_out_before_the_children_get_rows(spark):
+    name = "GLOBAL_IDENTITY_COLLECTION"
+    event = {"id": "a", "agRisk": {"value": "2.0"}, "createdOn": "x", "add": {"members": [{"globalIdentityId": "m"}, {"globalIdentityId": None}]}}
+    frame = flatten(decoded(spark, (name, event), (name, "{broken")), name)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    generated = next(line for line in plan.splitlines() if "Generate posexplode" in line)
+    assert "from_json" not in generated and "transform" not in generated
+    assert [(r["id"], r["member_global_id"], r["risk"], r["_bad"]) for r in frame.orderBy("_seq").collect()] == [
+        ("a", "", 2, "created_on"), ("a", "m", 2, "created_on"), ("a", None, 2, "created_on")
+    ]

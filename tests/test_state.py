@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from grantlake.entities import ENTITIES
+from grantlake.plans import queries_state
 from grantlake.plans.queries_state import entity_rows
-from grantlake.operators.state import apply_changes, apply_deletes, merge_latest, newest_per_key
+from grantlake.operators.state import apply_changes, apply_deletes, deciding_columns, merge_latest, newest_per_key
+from grantlake.session import stage
 from grantlake.sinks.tables import StateTable
 from tests import fold
 
@@ -219,3 +221,55 @@ def test_keys_without_tangled_rows_are_neither_looked_up_nor_walked(spark):
     state = apply_changes(spark.createDataFrame([], ENTITIES[name].schema), changes.unionByName(more), ENTITIES[name])
     assert "MapInArrow" in state._jdf.queryExecution().toString()
     assert {r[0]: r[1] for r in state.select("assignment_id", "target_identity_id").collect()}["5"] == "other"
+
+
+def collection_rows(spark, ids, route, step, **values):
+    columns = {"member_global_id": F.concat(F.lit("m"), "id"), "id": F.col("id").cast("string"), **values}
+    return entity_rows(spark.range(*ids), "GLOBAL_IDENTITY_COLLECTION", route, step, F.lit("2024-01-01").cast("timestamp"), **columns)
+
+
+def test_a_load_keeps_the_columns_of_its_target(spark):
+    entity = ENTITIES["GLOBAL_IDENTITY_COLLECTION"]
+    kept = [c for c in entity.column_names if c in deciding_columns(entity) | {"name"}]
+    changes = collection_rows(spark, (0, 9), "CREATE", 0).withColumn("name", F.lit("a")).unionByName(
+        collection_rows(spark, (0, 3), "UPDATE", 1, member_operation_type=F.lit("remove"))
+    ).unionByName(collection_rows(spark, (3, 4), "DELETE", 2, member_global_id=F.lit("")))
+    empty = spark.createDataFrame([], entity.schema)
+    wide = apply_changes(empty, changes, entity, dated=True)
+    narrow = apply_changes(empty.select(*kept), changes.select(*kept, "_route", "_step", "_seq"), entity, dated=True, written=True)
+    assert narrow.columns == kept and wide.columns == entity.column_names
+    assert as_set(narrow.collect(), kept) == as_set(wide.collect(), kept)
+    assert sorted(r["id"] for r in narrow.collect()) == ["4", "5", "6", "7", "8"]
+
+
+def test_written_deletes_are_joined_only_where_there_are_any(spark):
+    entity = ENTITIES["GLOBAL_IDENTITY_COLLECTION"]
+    empty = spark.createDataFrame([], entity.schema)
+    held = collection_rows(spark, (0, 9), "CREATE", 0)
+    removed = collection_rows(spark, (0, 3), "UPDATE", 1, member_operation_type=F.lit("remove"))
+
+    def joins(changes):
+        return apply_changes(empty, changes, entity, dated=True, written=True)._jdf.queryExecution().analyzed().toString().count("Join LeftAnti")
+
+    assert joins(held) == 0
+    assert joins(held.unionByName(removed)) == 1
+
+
+def test_delete_keys_are_not_sorted(spark):
+    entity = ENTITIES["GLOBAL_IDENTITY_COLLECTION"]
+    changes = collection_rows(spark, (0, 9), "CREATE", 0).unionByName(collection_rows(spark, (0, 3), "DELETE", 1))
+    plan = apply_changes(spark.createDataFrame([], entity.schema), changes, entity, dated=True)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_members_are_written_without_columns_nobody_reads(spark, tmp_path, monkeypatch):
+    rows = [(1, 5, 1, "N"), (1, 6, 2, "R"), (2, 5, 1, "R"), (2, 5, 4, "A"), (3, 7, 3, "R")]
+    lines = spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_linenumber int, l_returnflag string")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    written = []
+    monkeypatch.setattr(queries_state, "stage", lambda df, name: written.append((name, df.columns)) or stage(df, name))
+    state = queries_state.membership_apply(spark, str(tmp_path))
+    got = sorted(tuple(r) for r in state.collect())
+    assert got == [("1", "", "change"), ("1", "5", "change"), ("2", "", "change"), ("2", "5", "change"), ("3", "", "change")]
+    assert sorted(name for name, _ in written) == ["changes", "changes", "state"]
+    assert all("attributes" not in columns and {"id", "member_global_id", "name"} <= set(columns) for _, columns in written)
