@@ -1,8 +1,10 @@
 import base64
 import json
 import os
+from contextlib import contextmanager
 from datetime import datetime
 from pathlib import Path
+from threading import Event
 
 import pytest
 from pyspark.sql import functions as F
@@ -210,3 +212,43 @@ def test_batches_without_a_marker_are_only_registered(spark, tmp_path, monkeypat
     assert load.finish_snapshots(spark, files, str(tmp_path), "file", 0) == [] and names == ["markers"]
     marker = files.withColumns({"is_marker": F.lit(True), "num_of_batches": F.lit(1)})
     assert load.finish_snapshots(spark, marker, str(tmp_path), "file", 1) == ["RESOURCE"]
+
+
+def test_feed_files_of_neighbouring_slots_share_a_folder(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    rows = "(id % 300) * 1000 + id div 300 as event_id, timestamp_ntz'2024-01-02 00:00:00' as ts, id as user_id, 'view' as event_type, 'p' as props"
+    spark.range(600).selectExpr(*rows.split(", ")).write.parquet(f"{tmp_path}/in/events.parquet")
+    path = write_feed(spark, f"{tmp_path}/in", path=f"{tmp_path}/feed", time="to_timestamp(day, 'yyyyMMdd') + make_interval(0, 0, 0, 0, 0, 0, slot)")
+    files = list(Path(path).rglob("*.txt"))
+    assert len(files) == 300 and len({f.parent for f in files}) == 3
+    for file in files:
+        first, second, *data = [json.loads(line) for line in file.read_text().splitlines()]
+        slots = {int(line["id"]) // 1000 for line in data}
+        assert len(data) == 2 and len(slots) == 1
+        minute, second_ = divmod(slots.pop(), 60)
+        assert first["headers"]["eventTime"] == f"2024-01-02T00:{minute:02}:{second_:02}.000000789Z" and second == {"headers": {"correlationId": "snap-20240102"}}
+
+
+def test_a_load_has_few_jobs(spark, tmp_path):
+    feed, jobs = Feed(tmp_path), []
+    for k in range(3):
+        feed.file(f"f{k}.jsonl", lines(header("ROLE", time=f"2025-01-0{k + 1}T00:00:00Z"), {"id": "x", "name": str(k)}, {"id": str(k)}))
+    config = feed.config(max_files=1)
+    config.on_report = lambda report: jobs.append(spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs())
+    run(spark, "file", config).awaitTermination()
+    assert len(jobs) == 3 and jobs[2] - jobs[1] <= 27
+    assert sorted((r["id"], r["name"]) for r in feed.state(spark).collect()) == [("0", ""), ("1", ""), ("2", ""), ("x", "2")]
+
+
+def test_snapshots_are_registered_beside_the_tables_and_finished_after_them(spark, tmp_path, monkeypatch):
+    entered, seen = Event(), []
+    real = StateTable.load
+    monkeypatch.setattr(StateTable, "load", lambda *a: seen.append(entered.wait(120)) or real(*a))
+
+    @contextmanager
+    def beside(events):
+        entered.set()
+        yield lambda: seen.append(StateTable(spark, str(tmp_path), ROLE).read().count())
+
+    report = load_state(spark, decoded(spark, ("ROLE", {"id": "a"})), str(tmp_path), beside=beside)
+    assert seen == [True, 1] and report.events == {"ROLE": 1} and report.rows == {"ROLE": 1}
